@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.llm import exact_dedup, mixing, near_dedup
-from textloom.llm.shared import documents
+from textloom.llm import exact_dedup, kneser_ney, mixing, near_dedup, pieces, secrets, toxicity
+from textloom.llm.shared import documents, remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -20,6 +20,33 @@ def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession
     return f
 
 
+@query
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Learned from labelled rows that are not held out; every text is scored."""
+    docs = documents(spark, sf_dir)
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    model = toxicity.fit(docs, labels.where(remainder("doc_id", 5) != 0))
+    held_out = F.coalesce(remainder("id", 5) == 0, F.lit(False))
+    return toxicity.score(docs, model).select(
+        F.col("id").alias("doc_id"), held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
+
+
+@query
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text's pieces, and whether decoding them gives the text."""
+    encoded = pieces.encode(documents(spark, sf_dir))
+    return encoded.select(F.col("id").alias("doc_id"), "n_pieces", "round_trip", F.col("ids").alias("piece_ids"))
+
+
+@query
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan_secrets(documents(spark, sf_dir))
+    return found.select(
+        F.col("id").alias("doc_id"), "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_linked"
+    )
+
+
 @query
 def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups by 2-word shingles at 0.8."""
@@ -94,6 +121,25 @@ SELECT doc_id, size::BIGINT AS size, s AS source_size, target,
 """
 
 
+@query
+def op8_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bigrams, learned from the rows that are not held out; every text is scored."""
+    docs = documents(spark, sf_dir)
+    held_out = F.coalesce(remainder("doc_id", 7) == 2, F.lit(False))
+    model = kneser_ney.fit(docs.where(~held_out), order=2)
+    scored = kneser_ney.score(docs, model)
+    return scored.select(
+        F.col("id").alias("doc_id"),
+        F.coalesce(remainder("id", 7) == 2, F.lit(False)).alias("held_out"),
+        "n_tokens",
+        "n_known",
+        F.lit(model.tokens).cast("long").alias("train_tokens"),
+        "base_score",
+        "score",
+        "perplexity",
+    )
+
+
 @query
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The largest identifier of each text stays; texts are compared unchanged."""
