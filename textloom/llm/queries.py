@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.llm import exact_dedup, kneser_ney, mixing, near_dedup, pieces, secrets, toxicity
+from textloom.llm import chat, exact_dedup, kneser_ney, mixing, near_dedup, pieces, search, secrets, toxicity, warc
 from textloom.llm.shared import documents, remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -39,6 +39,55 @@ def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded.select(F.col("id").alias("doc_id"), "n_pieces", "round_trip", F.col("ids").alias("piece_ids"))
 
 
+@query
+def op3_quotation_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation in reply order, without quotations."""
+    messages = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    return chat.in_reply_order(messages).withColumnRenamed("conv", "conv_id")
+
+
+SQL["op3_quotation_linking"] = r"""
+WITH RECURSIVE msgs AS (
+  SELECT DISTINCT conv_id AS conv, turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text FROM conversations),
+m AS (SELECT *, md5(role || chr(10) || text) AS msg FROM msgs),
+ln AS (SELECT conv, turn, msg, unnest(string_split(text, chr(10))) AS line,
+  unnest(range(1, len(string_split(text, chr(10))) + 1)) AS n FROM m),
+pre AS (SELECT *, regexp_extract(line, '^(?:[ \t]*>)*', 0) AS p FROM ln),
+lv AS (SELECT conv, turn, msg, n, length(p) - length(replace(p, '>', '')) AS level,
+  lower(trim(regexp_replace(substr(line, length(p) + 1), '[ \t\r]+', ' ', 'g'))) AS body FROM pre),
+op AS (SELECT *, CASE WHEN lag(level) OVER w IS NULL OR lag(level) OVER w <> level OR lag(body) OVER w = '' THEN 1 ELSE 0 END AS o
+  FROM lv WINDOW w AS (PARTITION BY conv, turn, msg ORDER BY n)),
+ps AS (SELECT *, sum(o) OVER (PARTITION BY conv, turn, msg ORDER BY n) AS passage FROM op),
+bodies AS (
+  SELECT conv, turn, level, string_agg(body, ' ' ORDER BY n) AS body FROM ps WHERE body <> '' GROUP BY conv, turn, msg, level, passage
+  UNION ALL SELECT conv, turn, level, body FROM ps WHERE body <> ''),
+units AS (SELECT DISTINCT conv, turn, level, md5(body) AS hash FROM bodies WHERE conv IS NOT NULL AND turn IS NOT NULL),
+linked AS (
+  SELECT q.conv, q.turn, q.level, q.hash, max(o.turn) AS origin FROM units q
+  LEFT JOIN units o ON o.level = 0 AND o.conv = q.conv AND o.hash = q.hash AND o.turn < q.turn
+  WHERE q.level > 0 GROUP BY ALL),
+replies AS (
+  SELECT conv, turn, (max(struct_pack(a := -level, b := origin))).b AS reply_to FROM linked WHERE origin IS NOT NULL GROUP BY conv, turn),
+chain(conv, turn, top) AS (
+  SELECT conv, turn, reply_to FROM replies
+  UNION SELECT c.conv, c.turn, r.reply_to FROM chain c JOIN replies r ON r.conv = c.conv AND r.turn = c.top),
+threads AS (SELECT conv, turn, min(top) AS thread FROM chain GROUP BY conv, turn),
+counted AS (SELECT conv, turn, count(*) AS n_quoted, count(origin) AS n_linked FROM linked GROUP BY conv, turn),
+placed AS (
+  SELECT m.conv, m.turn, m.role, m.msg, r.reply_to, coalesce(t.thread, m.turn) AS thread,
+    coalesce(c.n_quoted, 0) AS n_quoted, coalesce(c.n_linked, 0) AS n_linked,
+    regexp_replace(array_to_string(list_filter(string_split(m.text, chr(10)), lambda x: NOT regexp_matches(x, '^[ \t]*>')), chr(10)),
+      '^(?:[ \t\r]*\n)+|(?:\n[ \t\r]*)+$', '', 'g') AS text
+  FROM m LEFT JOIN counted c ON c.conv = m.conv AND c.turn = m.turn
+  LEFT JOIN replies r ON r.conv = m.conv AND r.turn = m.turn
+  LEFT JOIN threads t ON t.conv = m.conv AND t.turn = m.turn)
+SELECT conv AS conv_id, turn, role, reply_to, thread,
+  row_number() OVER (PARTITION BY conv ORDER BY thread NULLS FIRST, turn NULLS FIRST, role, msg) - 1 AS position,
+  n_quoted, n_linked, text, '<|im_start|>' || role || chr(10) || text || '<|im_end|>' AS chat
+FROM placed
+"""
+
+
 @query
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.scan_secrets(documents(spark, sf_dir))
@@ -47,6 +96,73 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def crawl_records(pages: DataFrame) -> DataFrame:
+    """Two records for each page: its response, and a later visit by another spelling of the URL
+    that says "not modified" (one in five with another tag, one in seven without validators)."""
+    tag = F.substring(F.md5("html"), 1, 12)
+    day = F.lit(1_600_000_000) + F.col("page_id") * 60
+    response = F.concat(
+        F.lit("Content-Type: text/html\r\nCache-Control: max-age=60\r\nETag: \""), tag, F.lit('"\r\nContent-Length: '),
+        F.length("html").cast("string"),
+    )
+    other = F.when(F.col("page_id") % 5 == 0, F.lit("other")).otherwise(tag)
+    validators = F.when(F.col("page_id") % 7 == 0, F.lit("")).otherwise(F.concat(F.lit('ETag: W/"'), other, F.lit('"\r\n')))
+    revisit = F.concat(validators, F.lit("Content-Length: 0\r\nCache-Control: max-age="), (F.col("page_id") % 100).cast("string"))
+    again = F.concat(F.lit("HTTP://"), F.regexp_replace(F.regexp_replace("url", "#.*$", ""), "^https?://", ""), F.lit("#again"))
+    first = pages.select(
+        (F.col("page_id") * 2).alias("record_id"), F.lit("response").alias("kind"), "url", day.alias("date"),
+        F.lit(200).alias("status"), response.alias("headers"), F.col("html").alias("body"),
+    )
+    second = pages.select(
+        (F.col("page_id") * 2 + 1).alias("record_id"), F.lit("revisit").alias("kind"), again.alias("url"),
+        (day + 30 + F.col("page_id") % 3 * 86_400).alias("date"), F.lit(304).alias("status"), revisit.alias("headers"),
+        F.lit(None).cast("string").alias("body"),
+    )
+    return first.unionAll(second)
+
+
+@query
+def op5_revisit_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every record of the crawl with what it stands for."""
+    resolved = warc.resolve_revisits(crawl_records(spark.read.parquet(f"{sf_dir}/pages.parquet")))
+    headers = F.array_join(F.transform("merged", lambda h: F.concat(h["name"], F.lit(": "), h["value"])), "\n")
+    return resolved.select(
+        "record_id", "kind", "canonical", "date", "source_id", "outcome", headers.alias("headers"), F.md5("content").alias("content_md5")
+    )
+
+
+SQL["op5_revisit_resolution"] = r"""
+WITH base AS (SELECT page_id, url, html, substr(md5(html), 1, 12) AS tag, 1600000000 + page_id * 60 AS day FROM pages),
+bare AS (SELECT *, regexp_replace(regexp_replace(trim(url), '#.*$', ''), '^[A-Za-z][A-Za-z0-9+.-]*://', '') AS b FROM base),
+canon AS (
+  SELECT *, regexp_replace(regexp_replace(lower(regexp_extract(b, '^[^/?]*', 0)), '^[^@]*@', ''), '^www[0-9]*[.]|:80$|:443$', '', 'g')
+    || regexp_replace(regexp_extract(b, '^[^/?]*([^?]*)', 1), '/+$', '')
+    || CASE WHEN regexp_extract(b, '^[^?]*[?](.*)$', 1) <> '' THEN '?' ||
+      array_to_string(list_sort(list_filter(string_split(regexp_extract(b, '^[^?]*[?](.*)$', 1), '&'), lambda x: x <> '')), '&')
+      ELSE '' END AS canonical FROM bare),
+revisits AS (
+  SELECT page_id * 2 + 1 AS record_id, canonical, day + 30 + page_id % 3 * 86400 AS date, page_id % 7 <> 0 AS tagged,
+    CASE WHEN page_id % 5 = 0 THEN 'other' ELSE tag END AS tag, page_id FROM canon),
+found AS (
+  SELECT r.*, (max(struct_pack(d := c.day, i := c.page_id))).i AS page
+  FROM revisits r LEFT JOIN canon c ON c.canonical = r.canonical AND c.day < r.date GROUP BY ALL),
+judged AS (
+  SELECT f.*, c.tag AS stored, c.html, CASE WHEN f.page IS NULL THEN 'missing' WHEN NOT tagged THEN 'unverified'
+    WHEN f.tag = c.tag THEN 'resolved' ELSE 'mismatch' END AS outcome FROM found f LEFT JOIN canon c ON c.page_id = f.page)
+SELECT page_id * 2 AS record_id, 'response' AS kind, canonical, day AS date, page_id * 2 AS source_id, 'full' AS outcome,
+  'content-type: text/html' || chr(10) || 'cache-control: max-age=60' || chr(10) || 'etag: "' || tag || '"' || chr(10)
+    || 'content-length: ' || length(html) AS headers, md5(html) AS content_md5 FROM canon
+UNION ALL
+SELECT record_id, 'revisit', canonical, date, CASE WHEN outcome IN ('resolved', 'unverified') THEN page * 2 END, outcome,
+  CASE WHEN outcome IN ('resolved', 'unverified') THEN 'content-type: text/html' || chr(10)
+      || CASE WHEN tagged THEN '' ELSE 'etag: "' || stored || '"' || chr(10) END || 'content-length: ' || length(html) || chr(10)
+      || CASE WHEN tagged THEN 'etag: W/"' || tag || '"' || chr(10) ELSE '' END || 'cache-control: max-age=' || page_id % 100
+    ELSE CASE WHEN tagged THEN 'etag: W/"' || tag || '"' || chr(10) ELSE '' END || 'content-length: 0' || chr(10)
+      || 'cache-control: max-age=' || page_id % 100 END,
+  CASE WHEN outcome IN ('resolved', 'unverified') THEN md5(html) END FROM judged
+"""
+
+
 @query
 def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups by 2-word shingles at 0.8."""
@@ -140,6 +256,31 @@ def op8_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op9_bm25_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best rows for the whole text of every row whose identifier 50 divides."""
+    found = search.top_k(documents(spark, sf_dir), F.col("doc_id") % 50 == 0, k=10)
+    return found.select(F.col("query_id"), "rank", F.col("id").alias("doc_id"), F.round("score", 4).alias("score"))
+
+
+SQL["op9_bm25_top_k"] = r"""
+WITH words AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+')) AS w FROM documents),
+tf AS (SELECT doc_id, w, count(*) AS tf FROM words GROUP BY ALL),
+dl AS (SELECT d.doc_id, coalesce(sum(tf), 0) AS len FROM documents d LEFT JOIN tf USING (doc_id) GROUP BY d.doc_id),
+stat AS (SELECT count(*) AS n, sum(len) / count(*)::DOUBLE AS average FROM dl),
+df AS (SELECT w, count(*) AS df FROM tf GROUP BY w),
+scored AS (
+  SELECT q.doc_id AS query_id, t.doc_id, round(sum(ln(1 + (n - df + 0.5) / (df + 0.5)) * t.tf * 2.2
+    / (t.tf + 1.2 * (0.25 + 0.75 * len / average))), 6) AS s
+  FROM tf q JOIN tf t ON q.w = t.w AND q.doc_id % 50 = 0 JOIN df ON df.w = q.w JOIN dl ON dl.doc_id = t.doc_id, stat
+  GROUP BY ALL),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY s DESC, doc_id) AS rank FROM scored)
+SELECT query_id, rank::INTEGER AS rank, doc_id, round(s, 4) AS score FROM ranked WHERE rank <= 10
+"""
+
+
 @query
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The largest identifier of each text stays; texts are compared unchanged."""
