@@ -1,10 +1,6 @@
 """All registered queries and, for each that SQL can express, the DuckDB statement."""
 
-from __future__ import annotations
+from textloom.plans import entity_queries, table_queries, text_queries  # noqa: F401  (they register)
+from textloom.plans.registry import QUERIES, SQL
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-SQL: dict[str, str] = {}
+__all__ = ["QUERIES", "SQL"]
