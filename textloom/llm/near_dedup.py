@@ -10,9 +10,9 @@ share a band are candidates, and every link is confirmed on the full sets.
 No bucket is expanded into all pairs. Documents with equal sets become one class first. Then, in
 rounds, every member of a bucket is compared with one centre of that bucket, links are joined
 into components, and buckets that lie inside one component are done. What is left, members of
-one bucket in different components, is compared last, each pair once in its first shared band,
-after a signature estimate has set aside what is far below the threshold. A bucket that large
-groups share is thus a star, and a centre's set is dealt out in salted copies.
+one bucket in different components, is compared only where an exact bound on what two sets can
+share allows a link (see ``_leftover_pairs``) and a sketch of the signatures does not put them
+far below the threshold. A centre's set is dealt out in salted copies.
 
 Defined results: null and empty texts, and texts without words, have empty sets: they stand
 alone and stay. Texts with fewer words than a shingle are one shingle. Repeated identifiers are
@@ -29,6 +29,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from textloom.llm.components import components
@@ -173,19 +174,24 @@ def signed(docs: DataFrame, id_col: str, text_col: str, words: int, permutations
     return texts.mapInArrow(_sign(words, permutations, rows), SIGNED)
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """``pairs`` (a, b; each once) whose full sets reach the threshold."""
+def _with_sets(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """``pairs`` (a, b and further columns; each pair once) with a_items and b_items. Where one a
+    has many b, its set is dealt out in salted copies."""
     fans = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / F.lit(CENTRE_FAN)).cast("int").alias("fan"))
     centres = fans.join(sets.withColumnsRenamed({"rep": "a", "items": "a_items"}), "a").withColumn(
         "salt", F.explode(F.sequence(F.lit(0), F.col("fan") - 1))
     )
     salted = pairs.join(fans, "a").withColumn("salt", F.pmod(F.xxhash64("b"), F.col("fan")).cast("int")).drop("fan")
-    both = salted.join(sets.withColumnsRenamed({"rep": "b", "items": "b_items"}), "b").join(
+    return salted.join(sets.withColumnsRenamed({"rep": "b", "items": "b_items"}), "b").join(
         centres.drop("fan"), ["a", "salt"]
     )
+
+
+def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """``pairs`` (a, b; each once) whose full sets reach the threshold."""
     shared = F.size(F.array_intersect("a_items", "b_items")).cast("long")
     union = F.size("a_items").cast("long") + F.size("b_items") - shared
-    return both.where(shared * 100 >= union * percent).select("a", "b")
+    return _with_sets(pairs, sets).where(shared * 100 >= union * percent).select("a", "b")
 
 
 def _close(permutations: int, percent: int) -> Column:
@@ -219,9 +225,10 @@ def near_groups(
     nodes = firsts.groupBy("set_key").agg(F.min("rep").alias("node"), F.min("sketch").alias("sketch"), F.min("bands").alias("bands"))
     nodes = written(nodes.drop("set_key"), "nodes")
 
-    keyed = nodes.select("node", "sketch", F.explode("bands").alias("key"))
+    keyed = nodes.select("node", F.explode("bands").alias("key"))
     shared = keyed.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi").drop("hi")
-    buckets = written(keyed.join(shared, "key"), "buckets")
+    members = written(keyed.join(shared, "key"), "members")
+    buckets = members.join(nodes.groupBy("node").agg(F.min("sketch").alias("sketch")), "node")
 
     links = _links(docs, buckets, id_col, text_col, words, percent, permutations)
     joined = components(links)
@@ -279,11 +286,56 @@ def _links(docs, buckets, id_col, text_col, words, percent, permutations) -> Dat
     rest = rest.join(comp, "node", "left").withColumn("now", F.coalesce("now", "node"))
     hub_now = comp.select(F.col("node").alias("centre"), F.col("now").alias("main"))
     rest = rest.join(hub_now, "centre", "left").withColumn("main", F.coalesce("main", "centre"))
-    rest = written(rest.select("key", "node", "now", "main", "sketch"), "rest")
-    b = rest.select("key", "node", F.col("now").alias("b_now"), F.col("sketch").alias("b_sketch"))
-    a = rest.where("now <> main").select("key", F.col("node").alias("centre"), "now", "main", F.col("sketch").alias("a_sketch"))
-    once = (F.col("b_now") != F.col("now")) & ((F.col("b_now") == F.col("main")) | (F.col("centre") < F.col("node")))
-    return links.unionAll(confirmed(a.join(b, "key").where(once & close), "rest"))
+    rest = written(rest.select("centre", "node", "now", "main", "sketch").distinct(), "rest")
+    return links.unionAll(confirmed(_leftover_pairs(rest, sets, close, percent), "rest"))
+
+
+def _need(x: Column, y: Column, percent: int) -> Column:
+    """How much sets of these sizes must share to be linked."""
+    return F.ceil((x + y) * percent / (100 + percent)).cast("long")
+
+
+def _leftover_pairs(rest: DataFrame, sets: DataFrame, close: Column, percent: int) -> DataFrame:
+    """``rest``: centre, node, now, main, sketch; nodes that share a bucket with ``centre``. All
+    pairs of one centre that may be linked, the first not joined to the centre: centre, node.
+
+    Seen from the centre a set is what it shares with it and a remainder. Two sets share at most
+    the smaller of their parts in the centre, and what their remainders share. A set that is not
+    linked to a centre of about its size has too small a part in it, so it needs partners whose
+    remainders share some k shingles with its own; such partners have one in common among the
+    rarest ``remainder - k + 1`` of both. Copies of one original that were changed each in its own
+    way share no rare shingles: they are not compared, however many they are."""
+    both = _with_sets(rest.withColumnsRenamed({"centre": "a", "node": "b"}), sets)
+    info = both.select(
+        F.col("a").alias("centre"), F.col("b").alias("node"), "now", "main", "sketch",
+        F.size("b_items").cast("long").alias("n"), F.array_except("b_items", "a_items").alias("own"),
+    )
+    info = info.withColumn("part", F.col("n") - F.size("own"))
+    least = info.groupBy("centre").agg(F.min("n").alias("least_n"))
+    info = info.join(least, "centre")
+    smallest = F.greatest(F.ceil(F.col("n") * percent / 100).cast("long"), F.col("least_n"))
+    info = written(info.withColumn("low", _need(F.col("n"), smallest, percent) - F.col("part")), "remainders")
+
+    items = info.select("centre", "node", F.greatest("low", F.lit(1)).alias("k"), F.explode("own").alias("item"))
+    often = items.groupBy("centre", "item").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
+    of_node = W.partitionBy("centre", "node")
+    ranked = items.join(often, ["centre", "item"]).withColumns(
+        {"r": F.row_number().over(of_node.orderBy("df", "item")), "m": F.count(F.lit(1)).over(of_node)}
+    )
+    prefix = written(ranked.where("r <= m - k + 1").select("centre", "node", "item"), "prefix")
+    light = info.drop("own", "least_n")
+    a = light.where("now <> main").withColumnsRenamed({"node": "a", "sketch": "a_sketch", "n": "a_n", "part": "a_part", "now": "a_now", "low": "a_low"})
+    b = light.drop("main").withColumnsRenamed({"sketch": "b_sketch", "n": "b_n", "part": "b_part", "now": "b_now", "low": "b_low"})
+    once = (F.col("b_now") != F.col("a_now")) & ((F.col("b_now") == F.col("main")) | (F.col("a") < F.col("node")))
+    lacking = _need(F.col("a_n"), F.col("b_n"), percent) - F.least("a_part", "b_part")
+    owned = F.least(F.col("a_n") - F.col("a_part"), F.col("b_n") - F.col("b_part"))
+    sides = (
+        a.join(prefix.withColumnRenamed("node", "a"), ["centre", "a"]),
+        b.join(prefix, ["centre", "node"]),
+    )
+    rare = sides[0].join(sides[1], ["centre", "item"]).where(once & (lacking >= 1) & (lacking <= owned) & close)
+    inner = a.where("a_low <= 0").join(b.where("b_low <= 0"), "centre").where(once & (lacking <= 0) & close)
+    return rare.select(F.col("a").alias("centre"), "node").unionAll(inner.select(F.col("a").alias("centre"), "node"))
 
 
 def near_deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
