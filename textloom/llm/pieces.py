@@ -23,8 +23,10 @@ further columns are ignored.
 
 from __future__ import annotations
 
+import hashlib
 import re
 import struct
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from itertools import chain
@@ -89,6 +91,9 @@ class Vocabulary:
         self.byte_ids = [by_value[f"<0x{b:02X}>"] for b in range(256)] if len(by_value) == 256 else []
         self.unknown = self.kinds.index(2) if 2 in self.kinds else 0
 
+    def key(self) -> str:
+        return hashlib.sha256(repr((self.pieces, self.scores, self.kinds, self.model_type, self.dummy_prefix)).encode()).hexdigest()
+
     @classmethod
     def load(cls, path: str = MODEL_PATH) -> Vocabulary:
         with open(path, "rb") as f:
@@ -117,15 +122,21 @@ class Vocabulary:
 class Encoder:
     """Encodes marked words; keeps what it has learned about pairs of pieces and about words."""
 
-    LIMIT = 400_000
+    LIMIT, WORDS = 400_000, 700_000
 
     def __init__(self, vocabulary: Vocabulary):
         self.v = vocabulary
-        self.longest = max(map(len, vocabulary.ids), default=1)
-        self.words: dict[str, tuple[int, ...]] = {}
+        self.words: dict[str, bytes] = {}  # 32-bit identifiers, end to end
         self.follows: dict[tuple[str, str], bool] = {}
         self.floor = min(vocabulary.scores, default=0.0) - UNKNOWN_PENALTY
-        self.whole = {p: self.merged(p) == [p] for p in vocabulary.ids} if vocabulary.model_type == BPE else {}
+        whole = (p for p in vocabulary.ids if vocabulary.model_type != BPE or self.merged(p) == [p])
+        #: Every end of a piece, and whether it is a piece that can stand: longer ends are only
+        #: looked at while shorter ones are known.
+        self.ends: dict[str, bool] = {}
+        for piece in whole:
+            for at in range(1, len(piece)):
+                self.ends.setdefault(piece[at:], False)
+            self.ends[piece] = True
 
     def merged(self, text: str) -> list[str]:
         """The pieces of a short text by merging: the best-scored neighbours first, from the left."""
@@ -141,62 +152,72 @@ class Encoder:
             symbols[at : at + 2] = [symbols[at] + symbols[at + 1]]
         return symbols
 
-    def _step_bpe(self, word: str, end: int, states: list) -> tuple[int, str]:
-        """Length and text of the last piece of ``word[:end]``."""
-        follows, whole = self.follows, self.whole
-        for start in range(max(0, end - self.longest), end):
+    def _last(self, word: str, end: int) -> list[str]:
+        """The pieces, or the single character, that may end ``word[:end]``; the longest last."""
+        ends, found, start = self.ends, [word[end - 1]], end - 1
+        known = ends.get(found[0])
+        while known is not None and start:
+            start -= 1
             piece = word[start:end]
-            if not (whole.get(piece, False) or end - start == 1):
-                continue
+            known = ends.get(piece)
+            if known:
+                found.append(piece)
+        return found
+
+    def _step_bpe(self, word: str, end: int, states: list) -> str:
+        """The last piece of ``word[:end]``."""
+        follows = self.follows
+        for piece in reversed(self._last(word, end)):
+            start = end - len(piece)
             if not start:
-                return end, piece
-            pair = (states[start][1], piece)
+                return piece
+            pair = (states[start], piece)
             ok = follows.get(pair)
             if ok is None:
                 if len(follows) > self.LIMIT:
                     follows.clear()
                 ok = follows[pair] = self.merged(pair[0] + piece) == list(pair)
             if ok:
-                return end - start, piece
+                return piece
         raise AssertionError(f"no encoding of {word[:end]!r}")
 
-    def _step_unigram(self, word: str, end: int, states: list) -> tuple[int, str, float]:
+    def _step_unigram(self, word: str, end: int, states: list) -> tuple[str, float]:
         ids, scores, best = self.v.ids, self.v.scores, None
-        for start in range(max(0, end - self.longest), end):
-            piece = word[start:end]
-            found = ids.get(piece)
-            if found is None and end - start > 1:
-                continue
-            total = (states[start][2] if start else 0.0) + (self.floor if found is None else scores[found])
-            if best is None or total > best[2]:
-                best = (end - start, piece, total)
+        for piece in self._last(word, end):
+            found, start = ids.get(piece), end - len(piece)
+            total = (states[start][1] if start else 0.0) + (self.floor if found is None else scores[found])
+            if best is None or total >= best[1]:
+                best = (piece, total)
         return best
 
-    def _ids(self, word: str, states: list) -> tuple[int, ...]:
+    def _ids(self, word: str, states: list) -> bytes:
         out: list[int] = []
-        end = len(word)
+        end, ids, plain = len(word), self.v.ids, self.v.model_type == BPE
         while end:
-            length, piece = states[end][:2]
-            found = self.v.ids.get(piece)
+            piece = states[end] if plain else states[end][0]
+            found = ids.get(piece)
             if found is not None:
                 out.append(found)
             elif self.v.byte_ids:
                 out.extend(self.v.byte_ids[b] for b in reversed(piece.encode("utf-8", "surrogatepass")))
             else:
                 out.append(self.v.unknown)
-            end -= length
-        return tuple(reversed(out))
+            end -= len(piece)
+        out.reverse()
+        return array("i", out).tobytes()
 
     def learn(self, words: set[str]) -> None:
         """Encodes the words that are not known yet, in one walk of their trie."""
-        if len(self.words) > self.LIMIT:
+        if len(self.words) > self.WORDS:
             self.words.clear()
         step = self._step_bpe if self.v.model_type == BPE else self._step_unigram
         states: list = [None]
         last = ""
         for word in sorted(words.difference(self.words)):
-            shared, most = 0, min(len(last), len(word))
-            while shared < most and last[shared] == word[shared]:
+            shared = 0
+            for x, y in zip(last, word, strict=False):
+                if x != y:
+                    break
                 shared += 1
             del states[shared + 1 :]
             for end in range(shared + 1, len(word) + 1):
@@ -215,7 +236,7 @@ class Encoder:
         self.learn(set(chain.from_iterable(split)))
         known = self.words
         for words in split:
-            yield np.fromiter(chain.from_iterable(map(known.__getitem__, words)), np.int32)
+            yield np.frombuffer(b"".join(map(known.__getitem__, words)), np.int32)
 
 
 class Decoder:
@@ -250,6 +271,18 @@ class Decoder:
         return plain[1:] if self.v.dummy_prefix and plain.startswith(" ") else plain
 
 
+_ENCODERS: dict[str, tuple[Encoder, Decoder]] = {}
+
+
+def _coders(vocabulary: Vocabulary) -> tuple[Encoder, Decoder]:
+    """A worker's coders for a vocabulary: what one task has learned serves the next."""
+    key = vocabulary.key()
+    if key not in _ENCODERS:
+        _ENCODERS.clear()
+        _ENCODERS[key] = (Encoder(vocabulary), Decoder(vocabulary))
+    return _ENCODERS[key]
+
+
 ENCODED = "id long, ids array<int>, n_pieces long, round_trip boolean"
 
 
@@ -267,7 +300,7 @@ def _blocks_of(texts: pa.Array) -> Iterator[tuple[int, list[str | None]]]:
 
 def _encode(vocabulary: Vocabulary):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, decode = Encoder(vocabulary), Decoder(vocabulary)
+        encoder, decode = _coders(vocabulary)
         for batch in batches:
             for start, texts in _blocks_of(batch.column(1)):
                 ids = list(encoder.encode(texts))
