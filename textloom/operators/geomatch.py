@@ -24,8 +24,8 @@ def near(points: DataFrame, places: DataFrame, max_km: float, block: str | None
     band = lambda c: F.floor(F.col(c) / height).cast("long")
 
     def width(of: Column) -> Column:
-        outer = F.least(F.greatest(F.abs(of), F.abs(of + 1)) * height + height, F.lit(89.9))
-        return F.least(F.lit(height) / F.cos(F.radians(outer)), F.lit(360.0))
+        outer = F.greatest(F.abs(of), F.abs(of + 1)) * height + height
+        return F.when(outer >= 89.99, 360.0).otherwise(F.least(F.lit(height) / F.cos(F.radians(outer)), F.lit(360.0)))
 
     cell = lambda lng, of: F.floor((lng + 180.0) / width(of)).cast("long")
     last = lambda of: F.floor(F.lit(360.0) / width(of)).cast("long")
