@@ -115,9 +115,10 @@ def in_reply_order(
         F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),
     )
     rows = rows.withColumn("msg", F.md5(F.concat_ws("\n", "role", "text"))).dropDuplicates(["conv", "turn", "msg"])
+    rows = written(rows, "messages")
     quoting = rows.where(F.col("text").rlike(r"(?:^|\n)[ \t]*>")).select("conv").distinct()
     asked = rows.join(quoting, "conv", "left_semi")  # the others have nothing to link
-    linked, replies = reply_links(passages(asked))
+    linked, replies = reply_links(written(passages(asked), "units"))
     chains = threads(replies)
     counted = linked.groupBy("conv", "turn").agg(
         F.count(F.lit(1)).alias("n_quoted"), F.count("origin").alias("n_linked")
