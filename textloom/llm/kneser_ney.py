@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textloom.llm.shared import ensure_columns, scratch, written
+from textloom.llm.shared import ensure_columns, scratch, tidy, written
 
 #: Characters of training text for each shard, about; a power of two of shards is made.
 SHARD_CHARS = 12_000_000
@@ -387,7 +387,7 @@ def fit(texts: DataFrame, text_col: str = "text", order: int = 2, shard_chars: i
     chars = column.agg(F.sum(F.length("text"))).first()[0] or 0
     bits = min(16, max(0, (chars // shard_chars).bit_length()))
     root = scratch(spark, f"kneser-ney-{order}")
-    blocks = column.mapInArrow(_count(order, bits), BLOCKS)
+    blocks = column.mapInArrow(tidy(_count(order, bits)), BLOCKS)
     found = []
     for level in range(order, 0, -1):
         merge = _merge(level, root, bits, top=level == order)
@@ -439,6 +439,6 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     """A row per input row: id, n_tokens, n_known, base_score, score, perplexity."""
     ensure_columns(docs, id_col, text_col)
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    scored = texts.mapInArrow(_scores(model), "id long, n_tokens long, n_known long, base_score double, score double")
+    scored = texts.mapInArrow(tidy(_scores(model)), "id long, n_tokens long, n_known long, base_score double, score double")
     perplexity: Column = F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens"))
     return scored.withColumn("perplexity", perplexity)

@@ -29,14 +29,14 @@ import struct
 from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from itertools import chain
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textloom.llm.shared import ensure_columns
+from textloom.llm.shared import ensure_columns, tidy
 
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
@@ -122,7 +122,8 @@ class Vocabulary:
 class Encoder:
     """Encodes marked words; keeps what it has learned about pairs of pieces and about words."""
 
-    LIMIT, WORDS = 400_000, 700_000
+    #: Known pairs and words, at most; of words so many are kept beyond that, and beyond a task.
+    LIMIT, WORDS, KEPT = 300_000, 400_000, 100_000
 
     def __init__(self, vocabulary: Vocabulary):
         self.v = vocabulary
@@ -152,43 +153,65 @@ class Encoder:
             symbols[at : at + 2] = [symbols[at] + symbols[at + 1]]
         return symbols
 
-    def _last(self, word: str, end: int) -> list[str]:
-        """The pieces, or the single character, that may end ``word[:end]``; the longest last."""
-        ends, found, start = self.ends, [word[end - 1]], end - 1
-        known = ends.get(found[0])
+    def _starts(self, word: str, end: int) -> list[int]:
+        """Where the pieces, or the single character, that may end ``word[:end]`` start; the first
+        is the character's, the last the longest piece's."""
+        ends, found, start = self.ends, [end - 1], end - 1
+        known = ends.get(word[start])
         while known is not None and start:
             start -= 1
-            piece = word[start:end]
-            known = ends.get(piece)
+            known = ends.get(word[start:end])
             if known:
-                found.append(piece)
+                found.append(start)
         return found
 
-    def _step_bpe(self, word: str, end: int, states: list) -> str:
-        """The last piece of ``word[:end]``."""
-        follows = self.follows
-        for piece in reversed(self._last(word, end)):
-            start = end - len(piece)
-            if not start:
-                return piece
-            pair = (states[start], piece)
-            ok = follows.get(pair)
-            if ok is None:
-                if len(follows) > self.LIMIT:
-                    follows.clear()
-                ok = follows[pair] = self.merged(pair[0] + piece) == list(pair)
-            if ok:
-                return piece
-        raise AssertionError(f"no encoding of {word[:end]!r}")
-
-    def _step_unigram(self, word: str, end: int, states: list) -> tuple[str, float]:
-        ids, scores, best = self.v.ids, self.v.scores, None
-        for piece in self._last(word, end):
-            found, start = ids.get(piece), end - len(piece)
-            total = (states[start][1] if start else 0.0) + (self.floor if found is None else scores[found])
-            if best is None or total >= best[1]:
-                best = (piece, total)
-        return best
+    def _walk_bpe(self, word: str, shared: int, states: list) -> None:
+        """Appends the last piece of each longer prefix of ``word``."""
+        ends, follows, limit = self.ends, self.follows, self.LIMIT
+        for end in range(shared + 1, len(word) + 1):
+            start = end - 1
+            piece = word[start]
+            known, longer = ends.get(piece), None
+            while known is not None and start:
+                start -= 1
+                part = word[start:end]
+                known = ends.get(part)
+                if known:
+                    if longer is None:
+                        longer = [piece]
+                    else:
+                        longer.append(piece)
+                    piece = part
+            # the longest piece first; then those within it
+            while True:
+                at = end - len(piece)
+                if not at:
+                    break
+                pair = (states[at], piece)
+                ok = follows.get(pair)
+                if ok is None:
+                    if len(follows) > limit:
+                        follows.clear()
+                    ok = follows[pair] = self.merged(pair[0] + piece) == [pair[0], piece]
+                if ok:
+                    break
+                if not longer:
+                    raise AssertionError(f"no encoding of {word[:end]!r}")
+                piece = longer.pop()
+            states.append(piece)
+
+    def _walk_unigram(self, word: str, shared: int, states: list) -> None:
+        """Appends the last piece and the score of the best segmentation of each longer prefix."""
+        ids, scores = self.v.ids, self.v.scores
+        for end in range(shared + 1, len(word) + 1):
+            best = None
+            for start in self._starts(word, end):
+                piece = word[start:end]
+                found = ids.get(piece)
+                total = (states[start][1] if start else 0.0) + (self.floor if found is None else scores[found])
+                if best is None or total >= best[1]:
+                    best = (piece, total)
+            states.append(best)
 
     def _ids(self, word: str, states: list) -> bytes:
         out: list[int] = []
@@ -206,23 +229,27 @@ class Encoder:
         out.reverse()
         return array("i", out).tobytes()
 
+    def forget(self) -> None:
+        """Keeps the words that came first: frequent ones come early."""
+        self.words = dict(islice(self.words.items(), self.KEPT))
+
     def learn(self, words: set[str]) -> None:
         """Encodes the words that are not known yet, in one walk of their trie."""
         if len(self.words) > self.WORDS:
-            self.words.clear()
-        step = self._step_bpe if self.v.model_type == BPE else self._step_unigram
+            self.forget()
+        walk = self._walk_bpe if self.v.model_type == BPE else self._walk_unigram
+        known, ids_of = self.words, self._ids
         states: list = [None]
         last = ""
-        for word in sorted(words.difference(self.words)):
+        for word in sorted(words.difference(known)):
             shared = 0
             for x, y in zip(last, word, strict=False):
                 if x != y:
                     break
                 shared += 1
             del states[shared + 1 :]
-            for end in range(shared + 1, len(word) + 1):
-                states.append(step(word, end, states))
-            self.words[word] = self._ids(word, states)
+            walk(word, shared, states)
+            known[word] = ids_of(word, states)
             last = word
 
     def split(self, text: str) -> list[str]:
@@ -317,6 +344,7 @@ def _encode(vocabulary: Vocabulary):
                     ],
                     names=["id", "ids", "n_pieces", "round_trip"],
                 )
+        encoder.forget()
 
     return run
 
@@ -335,7 +363,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary | None = None, id_col: str =
     """A row per input row: id, ids, n_pieces, round_trip (whether decoding gives the text)."""
     ensure_columns(docs, id_col, text_col)
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    return texts.mapInArrow(_encode(vocabulary or Vocabulary.load()), ENCODED)
+    return texts.mapInArrow(tidy(_encode(vocabulary or Vocabulary.load())), ENCODED)
 
 
 def decode(encoded: DataFrame, vocabulary: Vocabulary | None = None, id_col: str = "id", ids_col: str = "ids") -> DataFrame:

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textloom.llm.shared import ensure_columns
+from textloom.llm.shared import ensure_columns, tidy
 
 REACH = 240
 
@@ -205,4 +205,4 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """A row per input row: its counts, its digest and its spans, as text and as an array."""
     ensure_columns(docs, id_col, text_col)
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    return texts.mapInArrow(_scan(reach), SCHEMA)
+    return texts.mapInArrow(tidy(_scan(reach)), SCHEMA)

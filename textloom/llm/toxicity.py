@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textloom.llm.shared import ensure_columns
+from textloom.llm.shared import ensure_columns, tidy
 
 BUCKETS = 1 << 17
 DIMENSIONS = 8
@@ -178,7 +178,7 @@ def fit(
     drawn = [known.where(f"label = {y}").orderBy(F.xxhash64("id"), "id").limit(sample_per_class) for y in (0, 1)]
     sample = drawn[0].unionAll(drawn[1])  # bounded: two times sample_per_class rows
     rows = texts.join(F.broadcast(sample), "id").select("id", "label", "text")
-    got = rows.mapInArrow(_bags, "id long, label int, ids binary").toPandas()
+    got = rows.mapInArrow(tidy(_bags), "id long, label int, ids binary").toPandas()
     got = got.sort_values(["id", "ids"]).drop_duplicates("id")
     bags = [np.frombuffer(ids, np.int32) for ids in got["ids"]]
     return train(bags, got["label"].to_numpy(np.int64))
@@ -198,7 +198,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     """A row per input row: id, score (probability of label 1)."""
     ensure_columns(docs, id_col, text_col)
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    return texts.mapInArrow(_scores(model), "id long, score double")
+    return texts.mapInArrow(tidy(_scores(model)), "id long, score double")
 
 
 def _passing(model: Model, threshold: float, at: int):
@@ -213,4 +213,4 @@ def _passing(model: Model, threshold: float, at: int):
 def reject(docs: DataFrame, model: Model, text_col: str = "text", threshold: float = 0.5) -> DataFrame:
     """The rows of ``docs`` that score below ``threshold``, with all their columns."""
     ensure_columns(docs, text_col)
-    return docs.mapInArrow(_passing(model, threshold, docs.columns.index(text_col)), docs.schema)
+    return docs.mapInArrow(tidy(_passing(model, threshold, docs.columns.index(text_col))), docs.schema)
