@@ -45,7 +45,7 @@ def test_assembly_and_classes(spark, tagged):
 
     def opens(frames):
         for f in frames:
-            yield pd.DataFrame({"volume": f.volume, "pos": f.pos, "class": ["new_charter" if x.startswith("XII") else "header_noise" for x in f.line], "correction": ""})
+            yield pd.DataFrame({"volume": f.volume, "pos": f.pos, "class": ["new_document" if x.startswith("XII") else "header_noise" for x in f.line], "correction": ""})
 
     found = segment.classify_candidates(context, opens)
     cut = {(r.volume, r.seq): r for r in segment.assemble(tagged, found).collect()}

@@ -126,7 +126,7 @@ def assemble(tagged: DataFrame, classes: DataFrame | None = None) -> DataFrame:
     else:
         tagged = tagged.withColumn("class", F.lit(None).cast("string"))
     kind = F.coalesce("class", F.lit("uncertain"))
-    opens = (F.col("tag") == "strict_open") | ((F.col("tag") == "candidate") & (kind == "new_charter"))
+    opens = (F.col("tag") == "strict_open") | ((F.col("tag") == "candidate") & (kind == "new_document"))
     kept = F.col("tag").isin("blank", "body", "strict_open") | ((F.col("tag") == "candidate") & (kind != "header_noise"))
     piece = (
         F.when(F.col("tag") == "blank", "\n")
