@@ -33,7 +33,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from textloom.llm.components import components
-from textloom.llm.shared import ensure_columns, small, without, written
+from textloom.llm.shared import ensure_columns, small, tidy, without, written
 
 PERMUTATIONS, BAND_ROWS = 80, 5
 #: The sketch sets a pair aside only when it lies so many standard deviations beyond the threshold.
@@ -46,7 +46,7 @@ _MIX1, _MIX2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 class Shingler:
     """64-bit shingle hashes of a text's words, ASCII letters in lower case."""
 
-    LIMIT = 400_000
+    LIMIT = 150_000
 
     def __init__(self, words: int):
         self.words, self.cache = words, {}
@@ -171,7 +171,7 @@ def _sets(words: int):
 
 def signed(docs: DataFrame, id_col: str, text_col: str, words: int, permutations: int, rows: int) -> DataFrame:
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    return texts.mapInArrow(_sign(words, permutations, rows), SIGNED)
+    return texts.mapInArrow(tidy(_sign(words, permutations, rows)), SIGNED)
 
 
 def _with_sets(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -244,7 +244,7 @@ def _links(docs, buckets, id_col, text_col, words, percent, permutations) -> Dat
     n_members = members.count()
     source = docs.select(F.col(id_col).cast("long").alias("rep"), F.col(text_col).cast("string").alias("text"))
     wanted = source.join(small(members.withColumnRenamed("node", "rep"), n_members, 32), "rep", "left_semi")
-    sets = written(wanted.mapInArrow(_sets(words), "rep long, items array<long>"), "sets")
+    sets = written(wanted.mapInArrow(tidy(_sets(words)), "rep long, items array<long>"), "sets")
     close = _close(permutations, percent)
 
     def confirmed(pairs: DataFrame, name: str) -> DataFrame:
@@ -306,15 +306,15 @@ def _leftover_pairs(rest: DataFrame, sets: DataFrame, close: Column, percent: in
     rarest ``remainder - k + 1`` of both. Copies of one original that were changed each in its own
     way share no rare shingles: they are not compared, however many they are."""
     both = _with_sets(rest.withColumnsRenamed({"centre": "a", "node": "b"}), sets)
-    info = both.select(
+    base = both.select(
         F.col("a").alias("centre"), F.col("b").alias("node"), "now", "main", "sketch",
         F.size("b_items").cast("long").alias("n"), F.array_except("b_items", "a_items").alias("own"),
     )
-    info = info.withColumn("part", F.col("n") - F.size("own"))
-    least = info.groupBy("centre").agg(F.min("n").alias("least_n"))
-    info = info.join(least, "centre")
+    base = written(base.withColumn("part", F.col("n") - F.size("own")), "remainders")
+    least = written(base.groupBy("centre").agg(F.min("n").alias("least_n")), "least")
+    info = base.join(small(least, least.count(), 24), "centre")
     smallest = F.greatest(F.ceil(F.col("n") * percent / 100).cast("long"), F.col("least_n"))
-    info = written(info.withColumn("low", _need(F.col("n"), smallest, percent) - F.col("part")), "remainders")
+    info = info.withColumn("low", _need(F.col("n"), smallest, percent) - F.col("part"))
 
     items = info.select("centre", "node", F.greatest("low", F.lit(1)).alias("k"), F.explode("own").alias("item"))
     often = items.groupBy("centre", "item").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
@@ -339,7 +339,8 @@ def _leftover_pairs(rest: DataFrame, sets: DataFrame, close: Column, percent: in
 
 
 def near_deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of ``docs`` that stay: of each group, those with its smallest identifier."""
+    """The rows of ``docs`` that stay: of each group, those with its smallest identifier. Rows
+    without an identifier stay too."""
     groups = near_groups(docs, id_col, text_col, **options)
-    gone = groups.where(~F.col("id").eqNullSafe(F.col("component_id"))).select(F.col("id").alias(id_col))
+    gone = groups.where("id <> component_id").select(F.col("id").alias(id_col))
     return without(docs, written(gone, "gone"), id_col)
