@@ -106,7 +106,9 @@ def resolve_revisits(records: DataFrame) -> DataFrame:
     columns = ["record_id", "kind", "url", "date", "status", "canonical", "source_id", "outcome", "merged"]
     responses = records.where((F.col("kind") == "response") & (F.col("status") == 200))
     bodies = responses.groupBy(F.col("record_id").cast("long").alias("__source")).agg(F.max("body").alias("content"))
-    restored = revisits.select(*columns).join(bodies, F.col("source_id") == F.col("__source"), "left").drop("__source")
+    revisits = revisits.select(*columns)
+    restored = revisits.where("source_id is not null").join(bodies, F.col("source_id") == F.col("__source"), "left").drop("__source")
+    restored = restored.unionByName(revisits.where("source_id is null"), allowMissingColumns=True)
     rest = records.select(
         F.col("record_id").cast("long").alias("record_id"), "kind", "url", F.col("date").cast("long").alias("date"),
         F.col("status").cast("int").alias("status"), canonical_url(F.col("url")).alias("canonical"),
