@@ -113,12 +113,11 @@ def exact_groups(
         return members.withColumn("collided", F.lit(False))
     hit_rows = marked.join(small(hits, found, 80), "digest")
     pick = F.min if keep == "min" else F.max
-    kept_bytes = (
-        hit_rows.where(F.col("id").eqNullSafe(F.col("keep_id"))).groupBy("digest").agg(pick("body").alias("kept_body"))
-    )
-    unequal = hit_rows.join(kept_bytes, "digest").where("body <> kept_body").select("digest").distinct()
+    kept_bytes = hit_rows.where(F.col("id").eqNullSafe(F.col("keep_id"))).groupBy("digest").agg(pick("body").alias("kept_body"))
+    kept_bytes = written(kept_bytes, "kept_bytes")  # so that the join's sides are plain shuffles, which can be split
+    unequal = hit_rows.join(kept_bytes, "digest").where("body <> kept_body").select("digest")
     collided = written(unequal, "collided")
-    n_collided = collided.count()
+    n_collided = collided.distinct().count()
     if not n_collided:
         return members.withColumn("collided", F.lit(False))
     again = marked.join(small(collided, n_collided, 48), "digest", "left_semi")
@@ -133,8 +132,11 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     extra = groups.groupBy("keep_id", "digest").agg(
         F.sum(F.col("id").eqNullSafe(F.col("keep_id")).cast("long")).alias("same_id")
     )
-    gone = written(groups.where(~F.col("id").eqNullSafe(F.col("keep_id"))).select(F.col("id").alias(id_col)), "gone")
-    kept = without(docs, gone, id_col)
+    gone = groups.where(~F.col("id").eqNullSafe(F.col("keep_id"))).select(F.col("id").alias("__gone"), F.col("digest").alias("__of")).distinct()
+    gone = written(gone, "gone")
+    side = small(gone, gone.count(), 96)  # by text as well: an identifier may stand for several texts
+    digest = sha256_digest(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
+    kept = docs.join(side, docs[id_col].eqNullSafe(F.col("__gone")) & (digest == F.col("__of")), "left_anti")
     if extra.where("same_id > 1").limit(1).count():  # rows that repeat with their identifier
         kept = kept.dropDuplicates([id_col, text_col])
     return kept
