@@ -1,0 +1,84 @@
+from __future__ import annotations
+
+import hashlib
+import random
+import re
+
+import pytest
+
+from textloom.llm import secrets
+
+ASSIGN = re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII)
+
+
+def base(text):
+    text = text or ""
+    found = [(m.start(), 0, m.end(), "assign") for m in ASSIGN.finditer(text) if len(m[2]) >= 12]
+    found += [(m.start(), 1, m.end(), "access") for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 18]
+    found += [(m.start(), 2, m.end(), "hex") for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 16]
+    return sorted(found)
+
+
+def test_base_matches_plain_patterns(docs, awkward):
+    r = random.Random(2)
+    bits = ["password", "PassWd", " = ", ": ", "'", '"', "api_key", "APIKEY=", "token", "secret:", "abcdef012345", "0123456789abcdef",
+            "AKIA", "ABCDEFGHIJKLMN12", " ", "\n", "é😀", "x", "ſecret=", "toKen=", "abcdefghijkl", "=", "-", "K", "\n\n", "user=bob", "https://a.example/x"]
+    rows = list(awkward) + [(100 + i, "".join(r.choices(bits, k=r.randint(1, 40)))) for i in range(400)]
+    got = secrets.scan_secrets(docs(rows)).collect()
+    assert len(got) == len(rows)
+    want = {}
+    for i, text, *_ in rows:
+        want.setdefault(i, base(text))
+    for row in got:
+        spans = want[row.id]
+        listed = ",".join(f"{k}:{a}:{b}" for a, _, b, k in spans)
+        assert row.base_sha256 == hashlib.sha256(listed.encode()).hexdigest()
+        assert (row.n_assign, row.n_access, row.n_hex) == tuple(sum(s[1] == k for s in spans) for k in range(3))
+        every = row.spans.split(",") if row.spans else []
+        assert set(listed.split(",") if listed else []) <= set(every) and len(every) == len(spans) + row.n_linked
+        assert [f"{f.kind}:{f.start}:{f.end}" for f in row.found] == every
+
+
+def kinds(text, **options):
+    found, linked = secrets.find_secrets(text, **options)
+    return [s.kind for s in found], [s.kind for s in linked]
+
+
+def test_weak_parts_need_each_other():
+    assert kinds("user=bob and nothing else") == ([], [])
+    assert kinds("token=short12 alone") == ([], [])
+    assert kinds("see https://db.example.com/x") == ([], [])
+    assert kinds("user=bob\npassword=hunter22") == ([], ["weak_id", "weak_secret"])
+    assert kinds("user=bob password=hunter22 host=db.example.com") == ([], ["weak_id", "weak_secret", "endpoint"])
+    assert kinds("https://db.example.com password=longenoughsecret1") == (["assign"], ["endpoint"])
+    assert kinds("client_id=app7 aB3dE5fG7hJ9kL1mN3pQ") == ([], ["weak_id", "weak_secret"])
+
+
+def test_scopes_and_reach_bound_the_join():
+    assert kinds("user=bob\n\npassword=hunter22") == ([], [])
+    far = "user=bob" + " filler" * 60 + " password=hunter22"
+    assert kinds(far) == ([], [])
+    assert kinds(far, reach=1000) == ([], ["weak_id", "weak_secret"])
+
+
+def test_sweep_agrees_with_all_pairs():
+    r = random.Random(4)
+    for _ in range(200):
+        spans = [secrets.Span(a, 1, a + r.randint(1, 30)) for a in r.sample(range(400), 12)]
+        cuts = sorted(r.sample(range(400), 3))
+        scope = lambda at: sum(c <= at for c in cuts)  # noqa: B023, E731
+        near = secrets.Near(spans, scope, 0)
+        for a in range(0, 400, 7):
+            probe = secrets.Span(a, 3, a + 5)
+            touching = any(s.start <= probe.end and probe.start <= s.end and scope(s.start) == scope(probe.start) == scope(s.end - 1) for s in spans)
+            if touching:
+                assert near(probe) or any(s.end > probe.start for s in spans if s.start < probe.start)
+
+
+def test_empty_table(docs):
+    assert secrets.scan_secrets(docs([])).count() == 0
+
+
+@pytest.mark.parametrize("text", [None, "", "plain words only"])
+def test_clean_texts(text):
+    assert secrets.find_secrets(text) == ([], [])
