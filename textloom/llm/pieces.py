@@ -123,7 +123,7 @@ class Encoder:
     """Encodes marked words; keeps what it has learned about pairs of pieces and about words."""
 
     #: Known pairs and words, at most; of words so many are kept beyond that, and beyond a task.
-    LIMIT, WORDS, KEPT = 300_000, 400_000, 100_000
+    LIMIT, WORDS, KEPT = 300_000, 400_000, 50_000
 
     def __init__(self, vocabulary: Vocabulary):
         self.v = vocabulary

@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 #: A side of a join is broadcast only if it was counted and has at most this many bytes.
 BROADCAST_BYTES = 16 << 20
+#: Rows of an Arrow batch of texts: it is in memory as a whole, on both sides, and texts may be long.
+BATCH_ROWS = 1_000
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -85,7 +87,11 @@ def ensure_columns(df: DataFrame, *names: str) -> None:
 
 def tidy(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
     """A task's function on batches that gives the memory it has freed back to the system when the
-    task ends: Python workers live on, and what they hold counts against their executor."""
+    task ends: Python workers live on, and what they hold counts against their executor. Batches of
+    texts get BATCH_ROWS rows at most, unless the session says otherwise."""
+    session, key = SparkSession.getActiveSession(), "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if session is not None and session.conf.get(key, None) is None:
+        session.conf.set(key, str(BATCH_ROWS))
 
     def tidied(batches: Iterator) -> Iterator:
         try:
