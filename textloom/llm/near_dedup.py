@@ -286,6 +286,10 @@ def _links(docs, buckets, id_col, text_col, words, percent, permutations) -> Dat
     rest = rest.join(comp, "node", "left").withColumn("now", F.coalesce("now", "node"))
     hub_now = comp.select(F.col("node").alias("centre"), F.col("now").alias("main"))
     rest = rest.join(hub_now, "centre", "left").withColumn("main", F.coalesce("main", "centre"))
+    # seen from the most linked node of the centre's component, which need not be in the bucket
+    degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("degree"))
+    tops = comp.join(degree, "node").groupBy("now").agg(F.max_by("node", F.struct("degree", "node")).alias("top"))
+    rest = rest.join(tops.withColumnRenamed("now", "main"), "main", "left").withColumn("centre", F.coalesce("top", "centre"))
     rest = written(rest.select("centre", "node", "now", "main", "sketch").distinct(), "rest")
     return links.unionAll(confirmed(_leftover_pairs(rest, sets, close, percent), "rest"))
 
