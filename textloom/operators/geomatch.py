@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -51,6 +52,48 @@ def nearest(pairs: DataFrame, n: int) -> DataFrame:
     return pairs.withColumn("rank", rank).where(F.col("rank") <= n)
 
 
+def _cut(df: DataFrame) -> DataFrame:
+    return df.checkpoint() if df.sparkSession.sparkContext.getCheckpointDir() else df.localCheckpoint()
+
+
+def nearest_within(points: DataFrame, places: DataFrame, n: int, max_km: float, block: str | None = None) -> DataFrame:
+    """What ``nearest(near(...), n)`` gives (mention, cand, km), without making the pairs that it drops.
+    Of places at one spot only the ``n`` first identifiers can be among anyone's nearest, and points at one
+    spot have the same ones, so spots are joined. The radius starts small and doubles: a spot that has
+    ``n`` places inside it is done, the others look again, up to ``max_km``."""
+    on = [block] if block else []
+    first = F.row_number().over(W.partitionBy(*on, "c_lat", "c_lng").orderBy("cand"))
+    thin = _cut(places.withColumn("r", first).where(F.col("r") <= n).drop("r"))
+    spots = points.where("lat is not null and lng is not null").groupBy(*on, "lat", "lng").agg(F.min("mention").alias("mention"))
+    left = spots = _cut(spots)
+    blocks = thin.select(*on).distinct().count() if on else 1
+    low, high = (F.struct(f("c_lat"), f("c_lng")) for f in (F.min, F.max))
+    low, high, count = thin.agg(low, high, F.count("c_lat")).first()
+    if not count:
+        return points.select("mention", F.lit(None).cast("long").alias("cand"), F.lit(None).cast("double").alias("km")).limit(0)
+    height, width = ((b - a) * KM_PER_DEGREE for a, b in zip(low, high, strict=True))
+    area = height * width * math.cos(math.radians((low[0] + high[0]) / 2))
+    radius = max(math.sqrt(abs(area) * n * blocks / (8 * math.pi * count)), max_km / 1024)
+    done = []
+    while True:
+        radius = min(radius, max_km)
+        close = _cut(nearest(near(left, thin, radius, block), n).select("mention", "cand", "km"))
+        if radius == max_km:
+            done.append(close)
+            break
+        full = close.groupBy("mention").agg(F.count(F.lit(1)).alias("found")).where(F.col("found") == n).select("mention")
+        done.append(close.join(full, "mention", "left_semi"))
+        left = _cut(left.join(full, "mention", "left_anti").select(*spots.columns))
+        if left.isEmpty():
+            break
+        radius *= 2
+    found = done[0]
+    for more in done[1:]:
+        found = found.unionAll(more)
+    found = found.withColumnRenamed("mention", "spot").join(spots.withColumnRenamed("mention", "spot"), "spot").drop("spot")
+    return points.select("mention", "lat", "lng", *on).join(found, [*on, "lat", "lng"]).select("mention", "cand", "km")
+
+
 def pools(mentions: DataFrame, places: DataFrame, crosswalk: DataFrame) -> DataFrame:
     """``mentions``: mention, district; ``places``: cand, block; ``crosswalk``: abbr, name. mention,
     cand: the places of the districts that the mention's may stand for, each once. Mentions without
@@ -75,6 +118,21 @@ def flag(km: Column, score: Column, confirm_km: float = 5, floor: float = 60, co
     )
 
 
+def _ranked(mentions: DataFrame, places: DataFrame, found: DataFrame, top: int, score: Callable[[Column, Column], Column]) -> DataFrame:
+    """``found``: mention, cand, km, via. The table that ``reconcile`` describes."""
+    merged = found.groupBy("mention", "cand").agg(
+        F.round(F.max("km"), 2).alias("distance_km"), F.array_join(F.array_sort(F.collect_set("via")), "+").alias("sources")
+    )
+    merged = merged.join(mentions.select("mention", "name"), "mention").join(places.select("cand", "c_name"), "cand")
+    merged = merged.withColumns({"x": normalise_place(F.col("name")), "y": normalise_place(F.col("c_name"))})
+    merged = merged.withColumn("name_score", F.round(score(F.col("x"), F.col("y")), 1))
+    order = [F.coalesce("distance_km", F.lit(9e9)), F.desc("name_score"), F.asc("cand")]
+    ranked = merged.withColumn("rank", F.row_number().over(W.partitionBy("mention").orderBy(*order))).where(F.col("rank") <= max(top, 1))
+    ranked = ranked.withColumn("flag", F.coalesce(flag(F.col("distance_km"), F.col("name_score")), F.lit("")))
+    columns = ["mention", "cand", "name_score", "distance_km", "flag", "sources", "rank"]
+    return mentions.select("mention").join(ranked.select(*columns), "mention", "left")
+
+
 def reconcile(mentions: DataFrame, places: DataFrame, pool: DataFrame, top: int = 5, max_km: float = 15, scorer: str = "weighted") -> DataFrame:
     """``mentions``: mention, name, lat, lng; ``places``: cand, c_name, c_lat, c_lng; ``pool``:
     mention, cand. Best ``top`` by name and ``top`` by distance (from all places, if the pool has
@@ -90,17 +148,32 @@ def reconcile(mentions: DataFrame, places: DataFrame, pool: DataFrame, top: int
     inside = close.join(pool, ["mention", "cand"], "left_semi")
     outside = close.join(inside.select("mention").distinct(), "mention", "left_anti")
     by_km = nearest(inside.unionAll(outside), top).select("mention", "cand", "km", F.lit("geo").alias("via"))
-    merged = by_name.unionByName(by_km).groupBy("mention", "cand").agg(
-        F.round(F.max("km"), 2).alias("distance_km"), F.array_join(F.array_sort(F.collect_set("via")), "+").alias("sources")
-    )
-    merged = merged.join(mentions.select("mention", "name"), "mention").join(places.select("cand", "c_name"), "cand")
-    merged = merged.withColumns({"x": normalise_place(F.col("name")), "y": normalise_place(F.col("c_name"))})
-    merged = merged.withColumn("name_score", F.round(score(F.col("x"), F.col("y")), 1))
-    order = [F.coalesce("distance_km", F.lit(9e9)), F.desc("name_score"), F.asc("cand")]
-    ranked = merged.withColumn("rank", F.row_number().over(W.partitionBy("mention").orderBy(*order))).where(F.col("rank") <= max(top, 1))
-    ranked = ranked.withColumn("flag", F.coalesce(flag(F.col("distance_km"), F.col("name_score")), F.lit("")))
-    columns = ["mention", "cand", "name_score", "distance_km", "flag", "sources", "rank"]
-    return mentions.select("mention").join(ranked.select(*columns), "mention", "left")
+    return _ranked(mentions, places, by_name.unionByName(by_km), top, score)
+
+
+def reconcile_within(mentions: DataFrame, places: DataFrame, block: str, top: int = 5, max_km: float = 15, scorer: str = "weighted") -> DataFrame:
+    """``reconcile`` with all places of a mention's ``block`` (a column on both sides) as its pool, a
+    place with the mention's own identifier left out. The pool's pairs are not made: names are scored once for a
+    block, and one candidate more than asked for is kept, which is the mention's own or too many."""
+    score, keep = SCORERS[scorer], top + 1
+    m = mentions.select("mention", block, normalise_place(F.col("name")).alias("x"))
+    c = places.select("cand", block, normalise_place(F.col("c_name")).alias("y"))
+    same = F.row_number().over(W.partitionBy(block, "y").orderBy("cand"))
+    c = c.withColumn("r", same).where(F.col("r") <= keep).drop("r")
+    pairs = m.select(block, "x").distinct().join(c.select(block, "y").distinct(), block)
+    scores = pairs.select("x", "y").distinct().withColumn("score", score(F.col("x"), F.col("y")))
+    by_score = F.row_number().over(W.partitionBy(block, "x").orderBy(F.desc("score"), "cand"))
+    best = pairs.join(scores, ["x", "y"]).join(c, [block, "y"]).withColumn("r", by_score).where(F.col("r") <= keep).drop("r", "y")
+    others = m.join(best, [block, "x"]).where("mention <> cand")
+    cut = F.row_number().over(W.partitionBy("mention").orderBy(F.desc("score"), "cand"))
+    others = others.withColumn("r", cut).where(F.col("r") <= top)
+    by_name = others.select("mention", "cand", F.lit(None).cast("double").alias("km"), F.lit("name").alias("via"))
+    spots = places.select("cand", "c_lat", "c_lng", block)
+    inside = nearest_within(mentions.select("mention", "lat", "lng", block), spots, keep, max_km, block).where("mention <> cand")
+    lonely = mentions.select("mention", "lat", "lng").join(inside.select("mention").distinct(), "mention", "left_anti")
+    outside = nearest_within(lonely, spots.drop(block), keep, max_km).where("mention <> cand")
+    by_km = nearest(inside.unionAll(outside), top).select("mention", "cand", "km", F.lit("geo").alias("via"))
+    return _ranked(mentions, places, by_name.unionByName(by_km), top, score)
 
 
 def geocode(places: DataFrame, gazetteer: DataFrame, accept: int = 70) -> DataFrame:
