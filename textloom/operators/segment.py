@@ -154,7 +154,10 @@ def flagged(tagged: DataFrame, classes: DataFrame) -> DataFrame:
 def length_outliers(segments: DataFrame, factor: int = 6, least: int = 3) -> DataFrame:
     """Documents longer than ``factor`` times their volume's upper median of lines; volumes with
     fewer than ``least`` documents have none."""
-    medians = segments.groupBy("volume").agg(F.sort_array(F.collect_list("n_lines")).alias("all"))
-    middle = F.get("all", F.floor(F.size("all") / 2).cast("int"))
-    medians = medians.where(F.size("all") >= least).select("volume", middle.alias("median"))
-    return segments.join(medians, "volume").where(F.col("n_lines") > F.col("median") * factor)
+    in_volume = W.partitionBy("volume")
+    rows = segments.where("volume is not null").withColumns({
+        "__n": F.row_number().over(in_volume.orderBy("n_lines")), "__all": F.count(F.lit(1)).over(in_volume),
+    })
+    middle = F.max(F.when(F.col("__n") == F.floor(F.col("__all") / 2) + 1, F.col("n_lines"))).over(in_volume)
+    rows = rows.withColumn("median", middle).where((F.col("__all") >= least) & (F.col("n_lines") > F.col("median") * factor))
+    return rows.drop("__n", "__all")

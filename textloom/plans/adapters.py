@@ -42,6 +42,41 @@ lines AS (
       WHEN n % 9 = 6 THEN line || ' ...... 7' WHEN n % 9 = 8 THEN '' ELSE line END AS line FROM raw)"""
 
 
+def whole_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """volume, page_no, pos, line: every line of the documents as it is, with page headers, openers, footnotes
+    and blanks as further lines beside them. Headers and openers stand before a line, blanks after it."""
+    docs = table(spark, sf_dir, "documents")
+    raw = docs.select("doc_id", F.regexp_extract("source", r"src(\d+)", 1).cast("int").alias("volume"), F.posexplode(F.split("text", "\n")).alias("n", "line"))
+    n, line = F.col("n"), F.col("line")
+    year = (F.lit(834) + (F.col("doc_id") * 7 + n) % 700).cast("string")
+    header = F.when(n % 20 == 0, F.concat(F.lit("- "), F.floor(n / 20).cast("string"), F.lit(" -")))
+    extra = (
+        F.when(n % 27 == 9, F.concat(F.lit("XII. "), F.substring(line, 1, 40)))
+        .when(n % 27 == 18, "834—1264.")
+        .when(n % 9 == 0, F.concat(year, F.lit(".")))
+        .when(n % 9 == 4, "1) note")
+        .when(n % 9 == 6, "part ...... 7")
+    )
+    shaped = F.posexplode(F.array(header, extra, line, F.when(n % 9 == 8, ""))).alias("k", "line")
+    rows = raw.select("doc_id", "volume", "n", shaped).where("line is not null")
+    pos = F.row_number().over(W.partitionBy("volume").orderBy("doc_id", "n", "k")).cast("long")
+    page = F.col("doc_id") * 10_000 + F.floor(n / 20)
+    return rows.select("volume", page.alias("page_no"), pos.alias("pos"), "line")
+
+
+WHOLE_LINES = r"""raw AS (
+  SELECT doc_id, CAST(regexp_extract(source, 'src(\d+)', 1) AS INTEGER) AS volume,
+    unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS n FROM documents),
+worked AS (
+  SELECT volume, doc_id, n, 0 AS k, '- ' || n // 20 || ' -' AS line FROM raw WHERE n % 20 = 0
+  UNION ALL SELECT volume, doc_id, n, 1, CASE WHEN n % 27 = 9 THEN 'XII. ' || substr(line, 1, 40) WHEN n % 27 = 18 THEN '834—1264.'
+    WHEN n % 9 = 0 THEN (834 + (doc_id * 7 + n) % 700)::VARCHAR || '.' WHEN n % 9 = 4 THEN '1) note' ELSE 'part ...... 7' END FROM raw WHERE n % 9 IN (0, 4, 6)
+  UNION ALL SELECT volume, doc_id, n, 2, line FROM raw
+  UNION ALL SELECT volume, doc_id, n, 3, '' FROM raw WHERE n % 9 = 8),
+lines AS (
+  SELECT volume, doc_id * 10000 + n // 20 AS page_no, row_number() OVER (PARTITION BY volume ORDER BY doc_id, n, k) AS pos, line FROM worked)"""
+
+
 def authority(spark: SparkSession, sf_dir: str) -> DataFrame:
     """pk, canonical_name, variant_names, wikidata_id: the distinct part names, by name."""
     names = table(spark, sf_dir, "part").select("p_name").distinct()
