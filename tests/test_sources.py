@@ -74,6 +74,19 @@ def test_paged_rest():
     assert [json.loads(r[0])["id"] for r in readers.PagedReader({"path": "one"}, pages.__getitem__).read(None)] == [4]
 
 
+def test_paged_rest_loses_no_page_in_silence():
+    def fetch(pages):
+        return lambda u: {"results": [{"id": int(u)}], "next": str(int(u) + 1) if int(u) < pages else None}
+
+    read = lambda pages, **options: [json.loads(r[0])["id"] for r in readers.PagedReader({"path": "1"} | options, fetch(pages)).read(None)]
+    assert read(200) == list(range(1, 201))
+    with pytest.raises(RuntimeError, match="more than 200 pages"):
+        read(201)
+    assert len(read(201, maxpages="300")) == 201
+    with pytest.warns(UserWarning, match="more than 3 pages"):
+        assert read(5, maxpages="3") == [1, 2, 3]
+
+
 def test_writers(spark, tmp_path):
     root = f"file://{tmp_path}"
     rows = spark.createDataFrame([(1, 1, "a"), (2, 1, "b")], "volume int, seq int, text string")

@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import urllib.parse
 import urllib.request
+import warnings
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -179,8 +180,14 @@ def repaired(texts: pd.Series) -> pd.Series:
     return texts.map(lambda t: [json.dumps(r, sort_keys=True, ensure_ascii=False) for r in repair_json(t)])
 
 
+#: As many as the studied reader follows.
+MAX_PAGES = 200
+
+
 class PagedReader(DataSourceReader):
-    """Follows ``next`` links; a payload is a list, an object with results, or one object."""
+    """Follows ``next`` links; a payload is a list, an object with results, or one object. At most
+    ``maxpages`` pages are read (200 unless given). If a link is left then, the default limit is an
+    error, because records would be lost unasked; a limit that was given is a warning."""
 
     def __init__(self, options: dict, fetch: Callable[[str], dict | list] | None = None):
         self.options, self.fetch = options, fetch or self._get
@@ -196,7 +203,8 @@ class PagedReader(DataSourceReader):
     def read(self, partition):
         params = {k[6:]: v for k, v in self.options.items() if k.startswith("param.")}
         url = self.options["path"] + ("?" + urllib.parse.urlencode(params) if params else "")
-        for _ in range(int(self.options.get("maxpages", "100"))):
+        limit = int(self.options.get("maxpages", MAX_PAGES))
+        for _ in range(limit):
             data = self.fetch(url)
             results = data["results"] if isinstance(data, dict) and "results" in data else data if isinstance(data, list) else [data]
             for record in results:
@@ -204,6 +212,10 @@ class PagedReader(DataSourceReader):
             url = data.get("next") if isinstance(data, dict) else None
             if not url:
                 return
+        left = f"{self.options['path']} has more than {limit} pages; the next one is {url}"
+        if "maxpages" not in self.options:
+            raise RuntimeError(f"{left}; set maxpages")
+        warnings.warn(left, stacklevel=2)
 
 
 class PagedSource(DataSource):
