@@ -205,6 +205,23 @@ def q_reconcile_full_outer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merged
 
 
+@query("""
+WITH a AS (SELECT s_suppkey AS key, s_name AS label, CASE WHEN s_suppkey % 10 = 1 THEN 'x' WHEN s_suppkey % 3 = 0 THEN '' ELSE (s_suppkey % 25)::VARCHAR END AS region, 'a' AS note FROM supplier),
+b AS (SELECT c_custkey + 3 AS key, c_name AS label, ((c_custkey + 3) % 25)::VARCHAR AS region, CASE WHEN c_custkey % 4 = 0 THEN ' ' ELSE 'b' END AS note FROM customer)
+SELECT coalesce(a.key, b.key) AS key, CASE WHEN a.key IS NOT NULL AND b.key IS NOT NULL THEN 'both' WHEN a.key IS NOT NULL THEN 'a' ELSE 'b' END AS found_in,
+  coalesce(nullif(a.label, ''), b.label) AS label, coalesce(nullif(trim(b.note), ''), a.note) AS note, coalesce(nullif(a.region, ''), b.region) AS region
+FROM a FULL JOIN b ON a.key = b.key WHERE NOT (coalesce(a.region, '') <> '' AND coalesce(b.region, '') <> '' AND a.region <> b.region)""")
+def q_reconcile_full_outer_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every supplier and every customer, whose keys start three later, as one store."""
+    s, c = F.col("s_suppkey"), F.col("c_custkey")
+    region = F.when(s % 10 == 1, "x").when(s % 3 == 0, "").otherwise((s % 25).cast("string"))
+    a = A.table(spark, sf_dir, "supplier").select(s.alias("key"), F.col("s_name").alias("label"), region.alias("region"), F.lit("a").alias("note"))
+    note = F.when(c % 4 == 0, " ").otherwise("b")
+    b = A.table(spark, sf_dir, "customer").select((c + 3).alias("key"), F.col("c_name").alias("label"), ((c + 3) % 25).cast("string").alias("region"), note.alias("note"))
+    merged, _ = reconcile.reconcile_stores(a, b, "key", ["label"], ["note"], ["region"])
+    return merged
+
+
 @query("""
 SELECT s_suppkey AS ref, CASE WHEN s_suppkey % 2 = 0 THEN coalesce(c.c_custkey, p.c_custkey) ELSE coalesce(p.c_custkey, c.c_custkey) END AS pk
 FROM supplier LEFT JOIN customer p ON p.c_custkey % 3 = 0 AND p.c_custkey // 3 = s_suppkey AND p.c_custkey % 4 = s_suppkey % 4
@@ -220,6 +237,19 @@ def q_resolve_references(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reconcile.resolve_references(refs, provisional, canonical).select("ref", "pk")
 
 
+@query("""
+SELECT s_suppkey AS ref, CASE WHEN s_suppkey % 2 = 0 THEN coalesce(c.c_custkey, p.c_custkey) ELSE coalesce(p.c_custkey, c.c_custkey) END AS pk
+FROM supplier LEFT JOIN customer p ON p.c_custkey = s_suppkey + 4 AND p.c_custkey % 8 = s_suppkey % 4
+LEFT JOIN customer c ON c.c_custkey = s_suppkey AND c.c_custkey % 3 <> 0""")
+def q_resolve_references_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """References looked up among all customers, who are in both stores, some in another volume or without a name there."""
+    c, k, s = A.table(spark, sf_dir, "customer"), F.col("c_custkey"), F.col("s_suppkey")
+    provisional = c.select((k % 8).alias("volume"), (k - 4).cast("string").alias("legacy_id"), k.alias("pk"))
+    canonical = c.select(F.when(k % 3 == 0, "").otherwise(k.cast("string")).alias("legacy_id"), k.alias("pk"))
+    refs = A.table(spark, sf_dir, "supplier").select(s.alias("ref"), (s % 4).alias("volume"), s.cast("string").alias("legacy_id"), (s % 2 == 0).alias("review"))
+    return reconcile.resolve_references(refs, provisional, canonical).select("ref", "pk")
+
+
 @query(f"""WITH {A.PAIRS}, gone AS (SELECT o_orderkey FROM orders WHERE year(o_orderdate) - 1991 = 3),
 dropped AS (SELECT c_custkey AS pk FROM customer WHERE c_custkey % 3 = 0 AND c_custkey % 4 = 3)
 SELECT 'documents' AS rows_of, count(*) AS n FROM orders WHERE o_orderkey NOT IN (SELECT * FROM gone)
