@@ -90,7 +90,7 @@ FROM placed
 
 @query
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = secrets.scan_secrets(documents(spark, sf_dir))
+    found = secrets.scan_secrets(documents(spark, sf_dir), reach=secrets.WHOLE_SCOPE)
     return found.select(
         F.col("id").alias("doc_id"), "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_linked"
     )

@@ -22,6 +22,7 @@ from __future__ import annotations
 import bisect
 import hashlib
 import re
+import sys
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -32,6 +33,8 @@ from pyspark.sql import functions as F
 from textloom.llm.shared import ensure_columns, tidy
 
 REACH = 240
+#: A reach that leaves the scope as the only bound.
+WHOLE_SCOPE = sys.maxsize
 
 
 def _either_case(words: str) -> str:
