@@ -44,7 +44,7 @@ class DigestIndex:
         self.generation: str | None = None
 
     def _write(self, df: DataFrame, path: str) -> None:
-        """Sorted inside each file, with a filter that point reads and later batches can use."""
+        """Sorted inside each file, with a filter for reads whose digests are pushed down as values."""
         (
             df.sortWithinPartitions("digest")
             .write.mode("overwrite")
@@ -82,7 +82,7 @@ class DigestIndex:
         return self.spark.read.parquet(*self.runs)
 
     def lookup(self, digests: DataFrame) -> DataFrame:
-        """Index rows for the digests given; the files' filters skip what cannot match."""
+        """Index rows for the digests given, by a join that reads the generation whole."""
         return digests.join(self.spark.read.parquet(self.generation), "digest", "left")
 
 
