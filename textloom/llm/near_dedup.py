@@ -11,8 +11,8 @@ No bucket is expanded into all pairs. Documents with equal sets become one class
 rounds, every member of a bucket is compared with one centre of that bucket, links are joined
 into components, and buckets that lie inside one component are done. What is left, members of
 one bucket in different components, is compared only where an exact bound on what two sets can
-share allows a link (see ``_leftover_pairs``) and a sketch of the signatures does not put them
-far below the threshold. A centre's set is dealt out in salted copies.
+share allows a link (see ``_leftover_pairs``): no pair is set aside by an estimate. A centre's
+set is dealt out in salted copies.
 
 Defined results: null and empty texts, and texts without words, have empty sets: they stand
 alone and stay. Texts with fewer words than a shingle are one shingle. Repeated identifiers are
@@ -33,11 +33,9 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from textloom.llm.components import components
-from textloom.llm.shared import ensure_columns, small, tidy, without, written
+from textloom.llm.shared import Workspace, ensure_columns, small, tidy, without, written
 
 PERMUTATIONS, BAND_ROWS = 80, 5
-#: The sketch sets a pair aside only when it lies so many standard deviations beyond the threshold.
-SIGMAS = 6.5
 #: A centre's set is copied once for each so many members that are compared with it.
 CENTRE_FAN = 256
 _MIX1, _MIX2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
@@ -98,7 +96,7 @@ def band_keys(signatures: np.ndarray, rows: int) -> np.ndarray:
     return out
 
 
-SIGNED = "id long, n_shingles long, set_key binary, sketch array<long>, bands array<long>"
+SIGNED = "id long, n_shingles long, set_key binary, bands array<long>"
 #: Shingles that are hashed at once; a longer text is a batch of its own.
 CHUNK = 1 << 20
 
@@ -111,30 +109,23 @@ def _sign(words: int, permutations: int, rows: int):
             sizes = np.array([len(s) for s in sets], np.int64)
             full = np.flatnonzero(sizes)
             keys: list = [None] * len(sets)
-            sketches: list = [None] * len(sets)
             lists: list = [[]] * len(sets)
             if len(full):
                 flat = np.concatenate([sets[i] for i in full])
                 starts = np.concatenate([[0], np.cumsum(sizes[full])[:-1]])
                 sig = min_max(flat, starts, permutations)
                 bands = band_keys(sig, rows).view(np.int64)
-                bits = np.packbits((scramble(sig) & np.uint64(1)).astype(np.uint8), axis=1)
-                sketch = np.zeros((len(full), -(-bits.shape[1] // 8) * 8), np.uint8)
-                sketch[:, : bits.shape[1]] = bits
-                sketch = sketch.view(np.int64)
                 for at, i in enumerate(full):
                     keys[i] = xxhash.xxh3_128_digest(sets[i].tobytes())
-                    sketches[i] = sketch[at]
                     lists[i] = bands[at]
             return pa.RecordBatch.from_arrays(
                 [
                     pa.array(ids, pa.int64()),
                     pa.array(sizes, pa.int64()),
                     pa.array(keys, pa.binary()),
-                    pa.array(sketches, pa.list_(pa.int64())),
                     pa.array(lists, pa.list_(pa.int64())),
                 ],
-                names=["id", "n_shingles", "set_key", "sketch", "bands"],
+                names=["id", "n_shingles", "set_key", "bands"],
             )
 
         for batch in batches:
@@ -175,16 +166,16 @@ def signed(docs: DataFrame, id_col: str, text_col: str, words: int, permutations
 
 
 def _with_sets(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """``pairs`` (a, b and further columns; each pair once) with a_items and b_items. Where one a
-    has many b, its set is dealt out in salted copies."""
+    """``pairs`` (a, b and further columns; a written table, each pair once) with a_items and
+    b_items. Where one a has many b, its set is dealt out in salted copies."""
+    n_pairs = pairs.count()
     fans = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / F.lit(CENTRE_FAN)).cast("int").alias("fan"))
-    centres = fans.join(sets.withColumnsRenamed({"rep": "a", "items": "a_items"}), "a").withColumn(
-        "salt", F.explode(F.sequence(F.lit(0), F.col("fan") - 1))
-    )
+    fans = small(fans, n_pairs, 24)
+    centres = sets.withColumnsRenamed({"rep": "a", "items": "a_items"}).join(fans, "a")
+    centres = centres.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("fan") - 1))).drop("fan")
     salted = pairs.join(fans, "a").withColumn("salt", F.pmod(F.xxhash64("b"), F.col("fan")).cast("int")).drop("fan")
-    return salted.join(sets.withColumnsRenamed({"rep": "b", "items": "b_items"}), "b").join(
-        centres.drop("fan"), ["a", "salt"]
-    )
+    members = sets.withColumnsRenamed({"rep": "b", "items": "b_items"}).join(small(salted, n_pairs, 48), "b")
+    return members.join(centres, ["a", "salt"])
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -194,16 +185,6 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return _with_sets(pairs, sets).where(shared * 100 >= union * percent).select("a", "b")
 
 
-def _close(permutations: int, percent: int) -> Column:
-    """Whether two one-bit sketches, a_sketch and b_sketch, may belong to a link."""
-    bits, differ = 2 * permutations, (1 - percent / 100) / 2
-    most = bits * differ + SIGMAS * (bits * differ * (1 - differ)) ** 0.5
-    distance = sum(
-        (F.bit_count(F.col("a_sketch")[k].bitwiseXOR(F.col("b_sketch")[k])) for k in range(-(-bits // 64))), F.lit(0)
-    )
-    return distance <= F.lit(most)
-
-
 def near_groups(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -215,131 +196,148 @@ def near_groups(
 ) -> DataFrame:
     """A row per input row: id, n_shingles, component_id (the smallest identifier reachable)."""
     ensure_columns(docs, id_col, text_col)
-    marked = written(signed(docs, id_col, text_col, words, permutations, rows), "signed")
+    space = Workspace(docs.sparkSession, "near-groups")
+    marked = space.written(signed(docs, id_col, text_col, words, permutations, rows), "signed")
     filled = marked.where("n_shingles > 0")
 
     # equal sets are one class, named by its smallest identifier
-    classes = written(filled.groupBy("set_key").agg(F.min("id").alias("rep")).where("rep is not null"), "classes")
+    classes = space.written(filled.groupBy("set_key").agg(F.min("id").alias("rep")).where("rep is not null"), "classes")
     key_of = classes.select(F.col("set_key").alias("key_of"), "rep")
     firsts = filled.join(key_of, (F.col("set_key") == F.col("key_of")) & (F.col("id") == F.col("rep")))
-    nodes = firsts.groupBy("set_key").agg(F.min("rep").alias("node"), F.min("sketch").alias("sketch"), F.min("bands").alias("bands"))
-    nodes = written(nodes.drop("set_key"), "nodes")
+    nodes = firsts.groupBy("set_key").agg(F.min("rep").alias("node"), F.min("bands").alias("bands"))
+    nodes = space.written(nodes.drop("set_key"), "nodes")
 
     keyed = nodes.select("node", F.explode("bands").alias("key"))
     shared = keyed.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi").drop("hi")
-    members = written(keyed.join(shared, "key"), "members")
-    buckets = members.join(nodes.groupBy("node").agg(F.min("sketch").alias("sketch")), "node")
+    buckets = space.written(keyed.join(shared, "key"), "members")
 
-    links = _links(docs, buckets, id_col, text_col, words, percent, permutations)
-    joined = components(links)
+    links = _links(docs, buckets, id_col, text_col, words, percent, space)
+    joined = components(links, space)
     rep_comp = joined.select(F.col("node").alias("rep"), "comp")
     class_comp = classes.join(rep_comp, "rep", "left").select("set_key", F.coalesce("comp", "rep").alias("comp"))
     found = marked.select("id", "n_shingles", "set_key").join(class_comp, "set_key", "left")
-    return found.select("id", "n_shingles", F.coalesce("comp", "id").alias("component_id"))
+    found = written(found.select("id", "n_shingles", F.coalesce("comp", "id").alias("component_id")), "groups")
+    space.close()
+    return found
+
 
+def _degrees(links: DataFrame) -> DataFrame:
+    return links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("degree"))
 
-def _links(docs, buckets, id_col, text_col, words, percent, permutations) -> DataFrame:
-    """Confirmed links between classes, enough to join all that any link joins."""
+
+def _links(
+    docs: DataFrame, buckets: DataFrame, id_col: str, text_col: str, words: int, percent: int, space: Workspace
+) -> DataFrame:
+    """Confirmed links between classes, enough to join all that any link joins. ``buckets``: node,
+    key, lo (the bucket's smallest node)."""
     members = buckets.select("node").distinct()
     n_members = members.count()
     source = docs.select(F.col(id_col).cast("long").alias("rep"), F.col(text_col).cast("string").alias("text"))
     wanted = source.join(small(members.withColumnRenamed("node", "rep"), n_members, 32), "rep", "left_semi")
-    sets = written(wanted.mapInArrow(tidy(_sets(words)), "rep long, items array<long>"), "sets")
-    close = _close(permutations, percent)
+    sets = space.written(wanted.mapInArrow(tidy(_sets(words)), "rep long, items array<long>"), "sets")
 
     def confirmed(pairs: DataFrame, name: str) -> DataFrame:
-        ordered = pairs.select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct()
-        return written(_confirmed(written(ordered, f"{name}_pairs"), sets, percent), name)
-
-    def star(rows: DataFrame, centres: DataFrame) -> DataFrame:
-        """``rows``: key, node, sketch; ``centres``: key, centre, a_sketch."""
-        at = rows.withColumnRenamed("sketch", "b_sketch").join(centres, "key")
-        return at.where((F.col("node") != F.col("centre")) & close)
+        """``pairs``: a, b."""
+        return space.written(_confirmed(space.written(pairs.distinct(), f"{name}-pairs"), sets, percent), name)
 
     # 1. every member with its bucket's smallest
-    lows = buckets.where("node = lo").groupBy("key", F.col("lo").alias("centre")).agg(F.min("sketch").alias("a_sketch"))
-    links = confirmed(star(buckets.select("key", "node", "sketch"), lows), "star")
+    links = confirmed(buckets.where("node <> lo").select(F.col("lo").alias("a"), F.col("node").alias("b")), "star")
 
     # 2. in buckets that are still several components: every member with the most linked one
-    comp = components(links)
-    degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("degree"))
-    state = degree.join(comp, "node", "full")
+    comp = components(links, space)
+    state = _degrees(links).join(comp, "node", "full")
     known = buckets.join(state, "node", "left").withColumn("comp", F.coalesce("comp", "node")).fillna(0, ["degree"])
-    known = written(known, "known")
-    best = F.max_by(F.struct("node", "comp", "sketch"), F.struct("degree", "node"))
+    known = space.written(known, "known")
+    best = F.max_by(F.struct("node", "comp"), F.struct("degree", "node"))
     open_keys = known.groupBy("key").agg(
         F.min("comp").alias("c0"), F.max("comp").alias("c1"), F.count(F.lit(1)).alias("size"), best.alias("best")
     )
     open_keys = open_keys.where("c0 < c1 and size > 2")
-    hubs = written(
-        open_keys.select(
-            "key", F.col("best.node").alias("centre"), F.col("best.comp").alias("hub_comp"), F.col("best.sketch").alias("a_sketch")
-        ),
-        "hubs",
-    )
-    apart = star(known.select("key", "node", "lo", "comp", "sketch"), hubs)
-    links = links.unionAll(confirmed(apart.where("comp <> hub_comp and lo <> node and lo <> centre"), "hub"))
-
-    # 3. what no centre has joined, member by member
-    comp = components(links).withColumnRenamed("comp", "now")
-    rest = known.join(hubs.select("key", "centre"), "key").where("node <> lo and node <> centre")
+    hubs = space.written(open_keys.select("key", F.col("best.node").alias("hub"), F.col("best.comp").alias("hub_comp")), "hubs")
+    n_hubs = hubs.count()
+    if not n_hubs:
+        return links
+    apart = known.join(small(hubs, n_hubs, 48), "key").where("node <> hub and comp <> hub_comp and lo <> node and lo <> hub")
+    links = links.unionAll(confirmed(apart.select(F.col("hub").alias("a"), F.col("node").alias("b")), "hub"))
+
+    # 3. what no centre has joined, member by member, seen from the most linked node of the hub's
+    # component, which need not be in the bucket; that is looked up per bucket, not per member
+    comp = space.written(components(links, space).withColumnRenamed("comp", "now"), "now")
+    tops = comp.join(_degrees(links), "node").groupBy("now").agg(F.max_by("node", F.struct("degree", "node")).alias("top"))
+    tops = space.written(tops.withColumnRenamed("now", "main"), "tops")
+    seen_from = hubs.join(comp.withColumnsRenamed({"node": "hub", "now": "main"}), "hub", "left")
+    seen_from = space.written(seen_from.select("key", "hub", F.coalesce("main", "hub").alias("main")), "seen-from")
+    seen_from = seen_from.join(small(tops, tops.count(), 32), "main", "left")
+    seen_from = space.written(seen_from.select("key", "hub", "main", F.coalesce("top", "hub").alias("top")), "tops-of-keys")
+    rest = known.select("key", "node", "lo").join(small(seen_from, n_hubs, 64), "key").where("node <> lo and node <> hub")
+    rest = space.written(rest.select("node", "main", F.col("top").alias("centre")).distinct(), "rest")
+    if not rest.limit(1).count():
+        return links
     rest = rest.join(comp, "node", "left").withColumn("now", F.coalesce("now", "node"))
-    hub_now = comp.select(F.col("node").alias("centre"), F.col("now").alias("main"))
-    rest = rest.join(hub_now, "centre", "left").withColumn("main", F.coalesce("main", "centre"))
-    # seen from the most linked node of the centre's component, which need not be in the bucket
-    degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("degree"))
-    tops = comp.join(degree, "node").groupBy("now").agg(F.max_by("node", F.struct("degree", "node")).alias("top"))
-    rest = rest.join(tops.withColumnRenamed("now", "main"), "main", "left").withColumn("centre", F.coalesce("top", "centre"))
-    rest = written(rest.select("centre", "node", "now", "main", "sketch").distinct(), "rest")
-    return links.unionAll(confirmed(_leftover_pairs(rest, sets, close, percent), "rest"))
-
-
-def _need(x: Column, y: Column, percent: int) -> Column:
-    """How much sets of these sizes must share to be linked."""
-    return F.ceil((x + y) * percent / (100 + percent)).cast("long")
-
-
-def _leftover_pairs(rest: DataFrame, sets: DataFrame, close: Column, percent: int) -> DataFrame:
-    """``rest``: centre, node, now, main, sketch; nodes that share a bucket with ``centre``. All
-    pairs of one centre that may be linked, the first not joined to the centre: centre, node.
-
-    Seen from the centre a set is what it shares with it and a remainder. Two sets share at most
-    the smaller of their parts in the centre, and what their remainders share. A set that is not
-    linked to a centre of about its size has too small a part in it, so it needs partners whose
-    remainders share some k shingles with its own; such partners have one in common among the
-    rarest ``remainder - k + 1`` of both. Copies of one original that were changed each in its own
-    way share no rare shingles: they are not compared, however many they are."""
-    both = _with_sets(rest.withColumnsRenamed({"centre": "a", "node": "b"}), sets)
+    direct, pairs = _leftover_pairs(rest.where("node <> centre"), sets, percent, space)
+    return links.unionAll(direct).unionAll(confirmed(pairs, "rest"))
+
+
+def _leftover_pairs(rest: DataFrame, sets: DataFrame, percent: int, space: Workspace) -> tuple[DataFrame, DataFrame]:
+    """``rest``: centre, node, now, main; nodes of a bucket whose other members are seen from
+    ``centre``, with their component and the centre's. Links with centres (a, b), and pairs (a, b)
+    of nodes of one centre that may be linked and lie in different components.
+
+    Seen from the centre O a set x is its difference d(x): what it has beyond O, and what of O it
+    lacks. Two sets share as many shingles as their differences have in common, plus what they
+    both have of O if nothing was missing twice:
+        |x & y| = |d(x) & d(y)| + |x & O| + |y & O| - |O|.
+    So a link needs ``o`` common items of the two differences, where ``o`` follows from the sizes,
+    and ``o`` is at least 1 if one of the two is not linked with O. In a common order, rarest
+    first, the first common item then has ``o - 1`` others behind it in both, which bounds its rank
+    on either side; pairs meet on such items only. Copies of one original that were changed each
+    in its own way lack common rare items: they are not compared, however many they are."""
+    rest = space.written(rest.withColumnsRenamed({"centre": "a", "node": "b"}), "seen")
+    both = _with_sets(rest, sets)
     base = both.select(
-        F.col("a").alias("centre"), F.col("b").alias("node"), "now", "main", "sketch",
-        F.size("b_items").cast("long").alias("n"), F.array_except("b_items", "a_items").alias("own"),
+        F.xxhash64("a", "a_items").alias("view"), F.xxhash64("b", "b_items").alias("variant"),
+        "a", "b", "now", "main", F.size("a_items").cast("long").alias("whole"), F.size("b_items").cast("long").alias("n"),
+        F.array_except("b_items", "a_items").alias("own"), F.array_sort(F.array_except("a_items", "b_items")).alias("lacked"),
     )
-    base = written(base.withColumn("part", F.col("n") - F.size("own")), "remainders")
-    least = written(base.groupBy("centre").agg(F.min("n").alias("least_n")), "least")
-    info = base.join(small(least, least.count(), 24), "centre")
-    smallest = F.greatest(F.ceil(F.col("n") * percent / 100).cast("long"), F.col("least_n"))
-    info = info.withColumn("low", _need(F.col("n"), smallest, percent) - F.col("part"))
-
-    items = info.select("centre", "node", F.greatest("low", F.lit(1)).alias("k"), F.explode("own").alias("item"))
-    often = items.groupBy("centre", "item").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
-    of_node = W.partitionBy("centre", "node")
-    ranked = items.join(often, ["centre", "item"]).withColumns(
-        {"r": F.row_number().over(of_node.orderBy("df", "item")), "m": F.count(F.lit(1)).over(of_node)}
-    )
-    prefix = written(ranked.where("r <= m - k + 1").select("centre", "node", "item"), "prefix")
-    light = info.drop("own", "least_n")
-    a = light.where("now <> main").withColumnsRenamed({"node": "a", "sketch": "a_sketch", "n": "a_n", "part": "a_part", "now": "a_now", "low": "a_low"})
-    b = light.drop("main").withColumnsRenamed({"sketch": "b_sketch", "n": "b_n", "part": "b_part", "now": "b_now", "low": "b_low"})
-    once = (F.col("b_now") != F.col("a_now")) & ((F.col("b_now") == F.col("main")) | (F.col("a") < F.col("node")))
-    lacking = _need(F.col("a_n"), F.col("b_n"), percent) - F.least("a_part", "b_part")
-    owned = F.least(F.col("a_n") - F.col("a_part"), F.col("b_n") - F.col("b_part"))
-    sides = (
-        a.join(prefix.withColumnRenamed("node", "a"), ["centre", "a"]),
-        b.join(prefix, ["centre", "node"]),
+    base = base.withColumn("part", F.col("n") - F.size("own"))
+    linked = F.col("part") * 100 >= (F.col("n") + F.col("whole") - F.col("part")) * percent
+    base = space.written(base.withColumn("linked", linked), "differences")
+    direct = base.where("linked and now <> main").select("a", "b")
+    full = 100 + percent
+    base = base.withColumns(
+        {
+            "free": ~F.col("linked") & (F.col("now") != F.col("main")),
+            "now": F.when(F.col("linked"), F.col("main")).otherwise(F.col("now")),
+            "slack": F.col("n") * percent - F.col("part") * full,  # what a set adds to ``o``, times ``full``
+            "d": (F.size("own") + F.size("lacked")).cast("long"),
+        }
     )
-    rare = sides[0].join(sides[1], ["centre", "item"]).where(once & (lacking >= 1) & (lacking <= owned) & close)
-    inner = a.where("a_low <= 0").join(b.where("b_low <= 0"), "centre").where(once & (lacking <= 0) & close)
-    return rare.select(F.col("a").alias("centre"), "node").unionAll(inner.select(F.col("a").alias("centre"), "node"))
+    floors = base.groupBy("view").agg(F.min("slack").alias("least_all"), F.min(F.when(F.col("free"), F.col("slack"))).alias("least_free"))
+    floors = space.written(floors.where("least_free is not null"), "floors")
+    base = base.join(small(floors, floors.count(), 32), "view")
+    other = F.when(F.col("free"), F.col("least_all")).otherwise(F.col("least_free"))
+    least = F.greatest(F.lit(1), F.ceil((F.col("slack") + other + F.col("whole") * full) / full)).cast("long")
+    base = base.withColumn("reach", F.col("d") - least + 1).where("reach > 0").drop("least_all", "least_free", "slack", "linked", "main")
+
+    facts = ["view", "variant", "b", "now", "free", "n", "part", "whole", "d", "reach"]
+    items = base.select(*facts, F.size("own").alias("n_own"), F.explode("own").alias("item"))
+    often = items.groupBy("view", "item").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
+    of_node = W.partitionBy("view", "b", "variant")
+    ranked = items.join(often, ["view", "item"]).withColumn("often", F.count(F.lit(1)).over(of_node))
+    ranked = ranked.withColumn("rank", F.col("n_own") - F.col("often") + F.row_number().over(of_node.orderBy("df", "item")))
+    beyond = F.slice("lacked", F.lit(1), F.greatest(F.lit(0), F.col("reach") - F.size("own")).cast("int"))
+    lacks = base.select(*facts, F.size("own").alias("n_own"), F.posexplode(beyond).alias("at", "item"))
+    lacks = lacks.withColumn("rank", F.col("n_own") + F.col("at") + 1)
+    prefix = ranked.select(*facts, "item", "rank").unionAll(lacks.select(*facts, "item", "rank")).where("rank <= reach")
+    prefix = space.written(prefix.drop("reach", "variant"), "prefix")
+
+    x = prefix.where("free").select("view", "item", *[F.col(c).alias(f"x_{c}") for c in ("b", "now", "n", "part", "d", "rank")])
+    need = F.ceil((F.col("x_n") + F.col("n")) * percent / full).cast("long")
+    common = need - F.col("x_part") - F.col("part") + F.col("whole")
+    once = (F.col("x_now") != F.col("now")) & (~F.col("free") | (F.col("x_b") < F.col("b")))
+    behind = F.least(F.col("x_d") - F.col("x_rank"), F.col("d") - F.col("rank")) + 1
+    pairs = x.join(prefix, ["view", "item"]).where(once & (common <= behind))
+    return direct, pairs.select(F.col("x_b").alias("a"), "b")
 
 
 def near_deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:

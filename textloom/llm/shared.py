@@ -52,6 +52,21 @@ def written(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Workspace:
+    """Intermediate tables of one operator's run, deleted together when they have had their last use."""
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.root, self.made = spark, scratch(spark, name), 0
+
+    def written(self, df: DataFrame, name: str) -> DataFrame:
+        self.made += 1
+        return written(df, name, f"{self.root}/{self.made:03d}-{name}")
+
+    def close(self) -> None:
+        """Call it when everything that reads these tables has been written elsewhere."""
+        remove(self.spark, self.root)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """``checkpoint()`` in the shared folder."""
     shared_root(df.sparkSession)
