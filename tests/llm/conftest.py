@@ -13,7 +13,8 @@ DOCS = T.StructType(
     ]
 )
 #: Names that the operators use inside.
-CLASHING = ("id", "size", "key", "node", "rep", "digest", "label", "keep_id", "bucket", "h", "n", "score", "copies")
+CLASHING = ("id", "size", "key", "node", "rep", "digest", "label", "keep_id", "bucket", "h", "n", "score", "copies",
+            "__gone", "__of", "__id", "__source", "__copies", "__turn", "__body", "__twins")
 
 
 @pytest.fixture

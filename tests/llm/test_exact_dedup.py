@@ -67,3 +67,28 @@ def test_index_grows_run_by_run(spark, docs, awkward):
 def test_empty_table(docs):
     assert exact_dedup.exact_groups(docs([])).count() == 0
     assert exact_dedup.deduplicate(docs([])).count() == 0
+
+
+def test_runs_are_probed_through_their_filters(spark, docs, monkeypatch):
+    monkeypatch.setattr(exact_dedup, "LEAST_TABLES", 5)
+    built = []
+    plain = exact_dedup.DigestIndex
+
+    class Kept(plain):
+        def __init__(self, *args):
+            super().__init__(*args)
+            built.append(self)
+
+    monkeypatch.setattr(exact_dedup, "DigestIndex", Kept)
+    rows = [(i, f"text {i % 90}") for i in range(180)] + [(1000 + i, f"alone {i}") for i in range(300)]
+    found = exact_dedup.exact_groups(docs(rows), keep="max")
+    assert sorted((r.id, r.keep_id, r.n) for r in found.collect()) == sorted(x[:3] for x in brute(rows, max))
+    index = built[0]
+    asked, passed, there = (sum(x) for x in zip(*index.probed, strict=True))
+    assert index.flushed == 5 and len(index.live()) == 1 and index.live()[0].rows == 390
+    assert 0 < there <= passed < asked / 2
+
+
+def test_rows_that_differ_elsewhere_keep_the_first(spark):
+    table = spark.createDataFrame([(1, "a", "z"), (1, "a", "b"), (1, "a", "y"), (2, "c", "q")], "doc_id long, text string, source string")
+    assert sorted(tuple(r) for r in exact_dedup.deduplicate(table).collect()) == [(1, "a", "b"), (2, "c", "q")]

@@ -84,3 +84,14 @@ def test_awkward_rows(docs, awkward):
 def test_tiny_tables(docs, rows):
     plan = mixing.mix_plan(docs(rows)).collect()
     assert len(plan) == len(rows) and mixing.mix(docs(rows)).count() >= 0
+
+
+def test_texts_of_one_identifier_keep_their_own_copies(docs):
+    rows = [(i, " ".join(["w"] * n), "a") for i in range(40) for n in (i % 7 + 1, i % 5 + 50)]
+    rows += [(900, "same text twice", "b"), (900, "same text twice", "b")]
+    table = docs(rows)
+    plan = mixing.mix_plan(table).collect()
+    mixed = mixing.mix(table)
+    assert mixed.columns == table.columns
+    words = sum(len(r.text.split()) for r in mixed.collect())
+    assert words == sum(r.taken for r in plan)

@@ -12,8 +12,9 @@ running sums are taken inside a bucket and over the buckets' totals; never over
 in one task. Only the table of sources (one row each) is ordered as a whole.
 
 Defined results: null text has size 0; null is a source of its own, ordered last; documents
-without words take nothing; repeated rows are documents like any other; an empty table gives an
-empty result; further columns are ignored. Reruns agree, whatever the partitioning.
+without words take nothing; repeated rows are documents like any other (in the mix, rows of one
+identifier, source and text share their copies, any odd one by the order of their columns); an
+empty table gives an empty result; further columns are ignored. Reruns agree, whatever the partitioning.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from textloom.llm.shared import WORD, ensure_columns, small, written
+from textloom.llm.shared import WORD, Workspace, ensure_columns, fresh, small, written
 
 WEIGHTS = (3, 1, 2)
 BUCKET_HEX = 3  # 4,096 buckets of a source
@@ -73,7 +74,7 @@ def _fill(rows: DataFrame, room: DataFrame, turn: int) -> DataFrame:
     heads = rows.groupBy("rank", "bucket").agg(F.sum("add").alias("bucket_sum"))
     before = W.partitionBy("rank").orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)
     heads = heads.select("rank", "bucket", F.coalesce(F.sum("bucket_sum").over(before), F.lit(0)).alias("head"))
-    inside = W.partitionBy("rank", "bucket").orderBy("h", "size").rowsBetween(W.unboundedPreceding, 0)
+    inside = W.partitionBy("rank", "bucket").orderBy("h", "size", "body").rowsBetween(W.unboundedPreceding, 0)
     rows = rows.withColumn("run", F.sum("add").over(inside)).join(heads, ["rank", "bucket"])
     pick = fits & (F.col("head") + F.col("run") <= F.col("gap"))
     rows = rows.withColumn("pick", F.coalesce(pick, F.lit(False)))
@@ -95,13 +96,14 @@ def mix_plan(
     max_epochs: int = 2,
     seed: int = 17,
 ) -> DataFrame:
-    """A row per document: id, source, size, source_size, target, copies, taken."""
+    """A row per document: id, source, body (a hash of its text), size, source_size, target, copies, taken."""
     ensure_columns(docs, id_col, source_col, text_col)
     tag = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(id_col).cast("string"), F.lit("")))).alias("h")
     sizes = docs.select(
         F.col(id_col).alias("id"),
         F.col(source_col).cast("string").alias("source"),
         word_count(F.col(text_col).cast("string")).alias("size"),
+        F.xxhash64(F.col(text_col).cast("string")).alias("body"),
         tag,
     )
     sizes = written(sizes, "sizes")
@@ -128,21 +130,34 @@ def mix_plan(
         rows = _fill(rows, small(room, n_sources, 64), turn)
     copies = F.col("whole") + F.col("picked").cast("long")
     return rows.select(
-        "id", "source", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken")
+        "id", "source", "body", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken")
     )
 
 
 def mix(docs: DataFrame, **options) -> DataFrame:
     """The mix itself: each row of ``docs`` as often as its plan says."""
-    id_col, source_col = options.get("id_col", "doc_id"), options.get("source_col", "source")
+    id_col, source_col, text_col = (options.get(f"{c}_col", d) for c, d in (("id", "doc_id"), ("source", "source"), ("text", "text")))
     plan = mix_plan(docs, **options)
-    other = plan.where("copies <> 1").groupBy("id", "source").agg(F.max("copies").cast("int").alias("__copies"))
-    other = written(other.withColumnsRenamed({"id": "__id", "source": "__source"}), "copies")
-    joined = docs.join(
-        small(other, other.count(), 96),
-        docs[id_col].eqNullSafe(F.col("__id")) & docs[source_col].cast("string").eqNullSafe(F.col("__source")),
-        "left",
+    # rows that nothing tells apart in the plan are one entry: their copies in all, and how many they are
+    every = plan.groupBy("id", "source", "body").agg(F.sum("copies").alias("copies"), F.count(F.lit(1)).alias("twins"))
+    other = written(every.where("copies <> twins"), "copies")
+    names = {c: fresh(docs, f"__{c}") for c in ("id", "source", "body", "copies", "twins", "turn")}
+    side = other.withColumnsRenamed({c: names[c] for c in other.columns})
+    col = {c: F.col(name) for c, name in names.items()}
+    body = F.xxhash64(docs[text_col].cast("string"))
+    same = (
+        docs[id_col].eqNullSafe(col["id"])
+        & docs[source_col].cast("string").eqNullSafe(col["source"])
+        & (body == col["body"])
     )
-    times = F.coalesce(F.col("__copies"), F.lit(1))
-    repeated = joined.withColumn("__turn", F.explode(F.when(times > 0, F.sequence(F.lit(1), times))))
-    return repeated.select(*[docs[c] for c in docs.columns])
+    joined = docs.join(small(side, other.count(), 96), same, "left")
+    each = F.coalesce(F.floor(col["copies"] / col["twins"]), F.lit(1)).cast("int")
+    odd = F.coalesce(col["copies"] % col["twins"], F.lit(0)) > 0
+    uneven = joined.where(odd)
+    if other.where("copies % twins > 0").limit(1).count():
+        order = W.partitionBy(*[names[c] for c in ("id", "source", "body")]).orderBy(F.to_json(F.struct(*[docs[c] for c in docs.columns])))
+        more = (F.row_number().over(order) <= col["copies"] % col["twins"]).cast("int")
+        times = joined.where(~odd).withColumn(names["turn"], each).unionAll(uneven.withColumn(names["turn"], each + more))
+    else:
+        times = joined.withColumn(names["turn"], each)
+    return times.withColumn(names["turn"], F.explode(F.array_repeat(F.lit(1), col["turn"]))).select(*docs.columns)

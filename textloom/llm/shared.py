@@ -10,6 +10,7 @@ import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,11 +45,12 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/textloom/{uuid.uuid4().hex}/{name}"
 
 
-def written(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
-    """The table, written to the shared folder and read again: its lineage ends there."""
+def written(df: DataFrame, name: str, path: str | None = None, by: tuple[str, ...] = ()) -> DataFrame:
+    """The table, written to the shared folder and read again: its lineage ends there. ``by``:
+    columns of few values, each of which gets folders of its own."""
     spark = df.sparkSession
     path = path or scratch(spark, name)
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").partitionBy(*by).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -58,9 +60,9 @@ class Workspace:
     def __init__(self, spark: SparkSession, name: str):
         self.spark, self.root, self.made = spark, scratch(spark, name), 0
 
-    def written(self, df: DataFrame, name: str) -> DataFrame:
+    def written(self, df: DataFrame, name: str, by: tuple[str, ...] = ()) -> DataFrame:
         self.made += 1
-        return written(df, name, f"{self.root}/{self.made:03d}-{name}")
+        return written(df, name, f"{self.root}/{self.made:03d}-{name}", by)
 
     def close(self) -> None:
         """Call it when everything that reads these tables has been written elsewhere."""
@@ -78,15 +80,40 @@ def remove(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def worker_uri(spark: SparkSession, path: str) -> str:
+    """``path`` as Hadoop qualifies it, in a form that pyarrow reads on the workers. A path without
+    scheme belongs to the default file system, which need not be the local one."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    store = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    uri = store.makeQualified(target).toString()
+    scheme, _, rest = uri.partition(":")
+    uri = "file://" + rest if scheme == "file" and not rest.startswith("//") else uri
+    uri = "s3" + uri[3:] if scheme in ("s3a", "s3n") else uri
+    try:
+        pafs.FileSystem.from_uri(uri)
+    except (ValueError, NotImplementedError, pa.ArrowException) as e:
+        raise ValueError(f"workers cannot write files below {uri}: spark.checkpoint.dir must be in a store that pyarrow knows") from e
+    return uri
+
+
 def small(df: DataFrame, rows: int, row_bytes: int) -> DataFrame:
     """``df``, marked for broadcasting if its counted rows fit; otherwise joins shuffle it."""
     return F.broadcast(df) if rows * row_bytes <= BROADCAST_BYTES else df
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, with as many underscores as it takes to be no column of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def without(docs: DataFrame, dropped: DataFrame, key: str = "doc_id") -> DataFrame:
     """Rows of ``docs`` whose key is not in ``dropped`` (a written table with that one column)."""
-    side = dropped.select(F.col(key).alias("__gone")).distinct()
-    return docs.join(small(side, dropped.count(), 64), docs[key].eqNullSafe(F.col("__gone")), "left_anti")
+    gone = fresh(docs, "__gone")
+    side = dropped.select(F.col(key).alias(gone)).distinct()
+    return docs.join(small(side, dropped.count(), 64), docs[key].eqNullSafe(F.col(gone)), "left_anti")
 
 
 def remainder(key: str | Column, modulus: int) -> Column:
