@@ -130,3 +130,36 @@ def test_files_in_a_store_without_local_paths(tmp_path, monkeypatch):
     assert [g.tolist() for g in got] == [a.tolist() for a in arrays]
     assert pafs.FileSystem.from_uri(root)[0].get_file_info(str(tmp_path / "words-0")).size % 8 == 0
     kn._MAPPED.clear()
+
+
+def test_a_lost_file_is_an_error(docs):
+    import os
+
+    table = docs(list(enumerate(TEXTS)))
+    model = kn.fit(table, shard_chars=10**9)
+    files = [f for f in os.listdir(model.root.removeprefix("file://")) if f.startswith("grams2")]
+    os.remove(f"{model.root.removeprefix('file://')}/{files[0]}")
+    kn._MAPPED.clear()
+    with pytest.raises(Exception, match="is lost"):
+        kn.score(table, model).collect()
+
+
+def test_paths_are_qualified_by_hadoop(spark, tmp_path):
+    from textloom.llm.shared import worker_uri
+
+    assert worker_uri(spark, str(tmp_path)) == f"file://{tmp_path}"
+    assert worker_uri(spark, f"file:{tmp_path}") == f"file://{tmp_path}"
+
+
+def test_fetched_copies_are_bounded(tmp_path, monkeypatch):
+    root = f"file://{tmp_path}"
+    for k in range(6):
+        kn._save(root, f"words-{k}", [np.arange(100, dtype=np.uint64)] * 2 + [np.arange(100, dtype=np.uint32)])
+    monkeypatch.setattr(kn.pafs, "LocalFileSystem", type("Other", (), {}))
+    monkeypatch.setattr(kn, "FETCHED", 5000)
+    monkeypatch.setattr(kn, "_FETCHED", 0)
+    kn._MAPPED.clear()
+    for k in range(6):
+        assert len(kn._mapped(root, f"words-{k}", kn.WORD_FILE)[0]) == 100
+        assert len(kn._MAPPED) <= 2
+    kn._MAPPED.clear()

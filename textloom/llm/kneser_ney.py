@@ -9,7 +9,9 @@ shard.
 
 A shard's file has sorted 64-bit hashes and their counts. Workers that score texts map the files
 into memory (files in a store without a local path are fetched into an unlinked temporary file
-first) and look up a chunk's distinct n-grams in sorted order, so pages are read in sequence.
+first, FETCHED bytes of them at most are held at once) and look up a chunk's distinct n-grams in
+sorted order, so pages are read in sequence. The model knows which files it has: a shard without
+n-grams has none, and any other file that is not found is an error, never an empty shard.
 The number of shards follows the corpus, so a merge stays as large as it is. A very frequent word
 reaches a shard as one entry of each chunk, never as its occurrences.
 
@@ -36,7 +38,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textloom.llm.shared import ensure_columns, scratch, tidy, written
+from textloom.llm.shared import Workspace, ensure_columns, scratch, tidy, worker_uri
 
 #: Characters of training text for each shard, about; a power of two of shards is made.
 SHARD_CHARS = 12_000_000
@@ -195,36 +197,45 @@ def _padded(a: np.ndarray) -> bytes:
     return a.tobytes() + b"\0" * (a.nbytes % 8)
 
 
+#: Files that are mapped at once, and bytes of fetched copies; beyond either, all are let go.
+MAPPED, FETCHED = 4096, 2 << 30
 _MAPPED: dict[str, list[np.ndarray]] = {}
+_FETCHED = 0
 
 
 def _mapped(root: str, name: str, kinds: tuple) -> list[np.ndarray]:
-    """The arrays of a file, mapped into memory; empty arrays if the shard has none."""
+    """The arrays of a file, mapped into memory. A file that is not there is an error."""
+    global _FETCHED
     key = f"{root}/{name}"
     if key in _MAPPED:
         return _MAPPED[key]
-    if len(_MAPPED) > 4096:
-        _MAPPED.clear()
     fs, path = pafs.FileSystem.from_uri(root)
-    if fs.get_file_info(f"{path}/{name}").type == pafs.FileType.NotFound:
-        arrays = [np.zeros(0, k) for k in kinds]
-    else:
-        if isinstance(fs, pafs.LocalFileSystem):
-            raw = np.memmap(f"{path}/{name}", np.uint8, "r")
-        else:  # the mapping outlives the name, so nothing stays behind
-            with tempfile.NamedTemporaryFile() as local:
-                with fs.open_input_stream(f"{path}/{name}") as src:
-                    while chunk := src.read(1 << 22):
-                        local.write(chunk)
-                local.flush()
-                raw = np.memmap(local.name, np.uint8, "r")
-        n = int(raw[:8].view(np.uint64)[0])
-        sizes = raw[8 : 8 + 8 * n].view(np.uint64).astype(np.int64)
-        at, arrays = 8 + 8 * n, []
-        for k, m in zip(kinds, sizes, strict=True):
-            size = int(m) * np.dtype(k).itemsize
-            arrays.append(raw[at : at + size].view(k))
-            at += size + (size % 8)
+    info = fs.get_file_info(f"{path}/{name}")
+    if info.type != pafs.FileType.File:
+        raise FileNotFoundError(f"{key} is lost, or this worker does not see the shared folder")
+    local_file = isinstance(fs, pafs.LocalFileSystem)
+    if len(_MAPPED) >= MAPPED or (not local_file and _FETCHED + info.size > FETCHED):
+        _MAPPED.clear()
+        _FETCHED = 0
+    if local_file:
+        raw = np.memmap(f"{path}/{name}", np.uint8, "r")
+    else:  # the mapping outlives the name, so nothing stays behind
+        with tempfile.NamedTemporaryFile() as local:
+            with fs.open_input_stream(f"{path}/{name}") as src:
+                while chunk := src.read(1 << 22):
+                    local.write(chunk)
+            local.flush()
+            raw = np.memmap(local.name, np.uint8, "r")
+        _FETCHED += info.size
+    n = int(raw[:8].view(np.uint64)[0])
+    sizes = raw[8 : 8 + 8 * n].view(np.uint64).astype(np.int64)
+    at, arrays = 8 + 8 * n, []
+    for k, m in zip(kinds, sizes, strict=True):
+        size = int(m) * np.dtype(k).itemsize
+        arrays.append(raw[at : at + size].view(k))
+        at += size + (size % 8)
+    if at != len(raw):
+        raise OSError(f"{key} has {len(raw)} bytes, not {at}")
     _MAPPED[key] = arrays
     return arrays
 
@@ -303,6 +314,14 @@ class Model:
     known: int
     continuations: int  # sum of the order-1 counts
     ones: tuple[int, int, int]  # words of order-1 count 1, 2, 3 and more
+    shards: tuple[bytes, ...]  # of orders 1, 2, ...: a bit for each shard that has a file
+
+    def _file(self, level: int, shard: int) -> list[np.ndarray] | None:
+        """The file of a shard at a level; none if the corpus put nothing there."""
+        if not self.shards[level - 1][shard >> 3] >> (shard & 7) & 1:
+            return None
+        name, kinds = (f"words-{shard}", WORD_FILE) if level == 1 else (f"grams{level}-{shard}", GRAM_FILE)
+        return _mapped(self.root, name, kinds)
 
     def _less(self, level: int, c: np.ndarray) -> np.ndarray:
         return np.array([0.0, *self.discount[level - 1]])[np.minimum(c, 3)]
@@ -317,8 +336,6 @@ class Model:
 
     @staticmethod
     def _find(sorted_keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        if not len(sorted_keys):
-            return np.zeros(len(wanted), np.int64), np.zeros(len(wanted), bool)
         at = np.minimum(np.searchsorted(sorted_keys, wanted), len(sorted_keys) - 1)
         return at, sorted_keys[at] == wanted
 
@@ -326,9 +343,9 @@ class Model:
         """For sorted word hashes: raw counts and order-1 probabilities."""
         raw, used = np.zeros(len(wanted), np.int64), np.zeros(len(wanted), np.int64)
         for shard, part in self._each_shard(wanted):
-            keys, n, c = _mapped(self.root, f"words-{shard}", WORD_FILE)
-            at, hit = self._find(keys, wanted[part])
-            if len(keys):
+            if file := self._file(1, shard):
+                keys, n, c = file
+                at, hit = self._find(keys, wanted[part])
                 raw[part] = np.where(hit, n[at].astype(np.int64), 0)
                 used[part] = np.where(hit, c[at].astype(np.int64), 0)
         if not self.continuations:
@@ -346,14 +363,12 @@ class Model:
         total, spare = np.zeros(len(ctx)), np.ones(len(ctx))
         d = self.discount[level - 1]
         for shard, part in self._each_shard(keys):
-            file = _mapped(self.root, f"grams{level}-{shard}", GRAM_FILE)
-            at, hit = self._find(file[0], keys[part])
-            if len(file[0]):
+            if file := self._file(level, shard):
+                at, hit = self._find(file[0], keys[part])
                 count[part] = np.where(hit, file[1][at].astype(np.int64), 0)
         for shard, part in self._each_shard(ctx):
-            file = _mapped(self.root, f"grams{level}-{shard}", GRAM_FILE)
-            at, hit = self._find(file[2], ctx[part])
-            if len(file[2]):
+            if file := self._file(level, shard):
+                at, hit = self._find(file[2], ctx[part])
                 sums = file[3][at].astype(np.float64)
                 left = sum(w * n[at].astype(np.float64) for w, n in zip(d, file[4:], strict=True))
                 total[part] = np.where(hit, sums, 0)
@@ -386,16 +401,22 @@ def fit(texts: DataFrame, text_col: str = "text", order: int = 2, shard_chars: i
     column = texts.select(F.col(text_col).cast("string").alias("text"))
     chars = column.agg(F.sum(F.length("text"))).first()[0] or 0
     bits = min(16, max(0, (chars // shard_chars).bit_length()))
-    root = scratch(spark, f"kneser-ney-{order}")
+    root = worker_uri(spark, scratch(spark, f"kneser-ney-{order}"))
+    space = Workspace(spark, "kneser-ney-counts")
     blocks = column.mapInArrow(tidy(_count(order, bits)), BLOCKS)
-    found = []
+    found, shards = [], []
     for level in range(order, 0, -1):
         merge = _merge(level, root, bits, top=level == order)
-        merged = written(blocks.groupBy("shard").applyInArrow(merge, MERGED), f"merged{level}")
+        merged = space.written(blocks.groupBy("shard").applyInArrow(merge, MERGED), f"merged{level}")
         sums = merged.where("stats is not null").select(F.posexplode("stats").alias("k", "v")).groupBy("k").agg(F.sum("v"))
         got = dict(sums.collect())  # seven numbers
         found.insert(0, [got.get(k) or 0 for k in range(7)])
+        bits_of = bytearray(((1 << bits) + 7) // 8)
+        for row in merged.where("stats is not null").select("shard").distinct().collect():  # 65,536 numbers at most
+            bits_of[row.shard >> 3] |= 1 << (row.shard & 7)
+        shards.insert(0, bytes(bits_of))
         blocks = merged.where("body is not null").select("shard", "body")
+    space.close()
     n1, n2, _, _, known, continuations, tokens = found[0]
     return Model(
         root=root,
@@ -406,6 +427,7 @@ def fit(texts: DataFrame, text_col: str = "text", order: int = 2, shard_chars: i
         known=known,
         continuations=continuations,
         ones=(n1, n2, known - n1 - n2),
+        shards=tuple(shards),
     )
 
 
