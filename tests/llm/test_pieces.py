@@ -113,3 +113,11 @@ def test_models_that_change_texts_are_refused(tmp_path):
     if raw != LIBRARY.serialized_model_proto():
         with pytest.raises(ValueError, match="normaliser"):
             pieces.Vocabulary.load(str(path))
+
+
+def test_a_text_without_spaces_is_not_kept(docs):
+    encoder = pieces.Encoder(pieces.Vocabulary.load())
+    long = "".join(f"x{i % 97}é" for i in range(400_000))
+    first, second = encoder.encode([long, "a short text"])
+    assert pieces.Decoder(encoder.v)(first) == long and len(second)
+    assert not encoder.long and max(map(len, encoder.words)) <= encoder.LONG

@@ -123,11 +123,14 @@ class Encoder:
     """Encodes marked words; keeps what it has learned about pairs of pieces and about words."""
 
     #: Known pairs and words, at most; of words so many are kept beyond that, and beyond a task.
-    LIMIT, WORDS, KEPT = 300_000, 400_000, 50_000
+    #: Words of more characters than LONG are encoded alike but never kept: a text without spaces
+    #: is one word, so what is kept has at most WORDS times LONG characters.
+    LIMIT, WORDS, KEPT, LONG = 300_000, 400_000, 50_000, 256
 
     def __init__(self, vocabulary: Vocabulary):
         self.v = vocabulary
         self.words: dict[str, bytes] = {}  # 32-bit identifiers, end to end
+        self.long: dict[str, bytes] = {}
         self.follows: dict[tuple[str, str], bool] = {}
         self.floor = min(vocabulary.scores, default=0.0) - UNKNOWN_PENALTY
         whole = (p for p in vocabulary.ids if vocabulary.model_type != BPE or self.merged(p) == [p])
@@ -234,11 +237,13 @@ class Encoder:
         self.words = dict(islice(self.words.items(), self.KEPT))
 
     def learn(self, words: set[str]) -> None:
-        """Encodes the words that are not known yet, in one walk of their trie."""
+        """Encodes the words that are not known yet, in one walk of their trie. Long ones are in
+        ``self.long`` until the next call."""
         if len(self.words) > self.WORDS:
             self.forget()
         walk = self._walk_bpe if self.v.model_type == BPE else self._walk_unigram
-        known, ids_of = self.words, self._ids
+        known, ids_of, longest = self.words, self._ids, self.LONG
+        self.long = {}
         states: list = [None]
         last = ""
         for word in sorted(words.difference(known)):
@@ -249,7 +254,10 @@ class Encoder:
                 shared += 1
             del states[shared + 1 :]
             walk(word, shared, states)
-            known[word] = ids_of(word, states)
+            if len(word) > longest:
+                self.long[word] = ids_of(word, states)
+            else:
+                known[word] = ids_of(word, states)
             last = word
 
     def split(self, text: str) -> list[str]:
@@ -261,9 +269,11 @@ class Encoder:
     def encode(self, texts: list[str | None]) -> Iterator[np.ndarray]:
         split = [self.split(t or "") for t in texts]
         self.learn(set(chain.from_iterable(split)))
-        known = self.words
+        known, long = self.words, self.long
+        of = (lambda w: known[w] if w in known else long[w]) if long else known.__getitem__
         for words in split:
-            yield np.frombuffer(b"".join(map(known.__getitem__, words)), np.int32)
+            yield np.frombuffer(b"".join(map(of, words)), np.int32)
+        self.long = {}
 
 
 class Decoder:
