@@ -101,6 +101,22 @@ class Model:
         return float(1.0 / (1.0 + np.exp(-np.clip(logit, -500, 500))))
 
 
+def gradients(
+    emb: np.ndarray, out: np.ndarray, bias: np.ndarray, ids: np.ndarray, sizes: np.ndarray, target: np.ndarray, weight: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of the batch's mean weighted cross-entropy, by each text's average embedding (divided by its
+    size: what each of its n-grams gets), by the softmax weights and by the bias. ``ids`` has the
+    texts' n-grams end to end."""
+    starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+    mean = np.add.reduceat(emb[ids], starts, axis=0) / sizes[:, None].astype(emb.dtype)
+    logits = mean @ out + bias
+    logits -= logits.max(1, keepdims=True)
+    p = np.exp(logits)
+    p /= p.sum(1, keepdims=True)
+    err = (p - target) * weight[:, None] / len(sizes)
+    return err @ out.T / sizes[:, None], mean.T @ err, err.sum(0)
+
+
 def train(
     bags: list[np.ndarray],
     labels: np.ndarray,
@@ -128,15 +144,8 @@ def train(
             rows = order[at : at + batch]
             ids = np.concatenate([bags[i] for i in rows])
             sizes = np.array([len(bags[i]) for i in rows])
-            starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-            mean = np.add.reduceat(emb[ids], starts, axis=0) / sizes[:, None].astype(np.float32)
-            logits = mean @ out + bias
-            logits -= logits.max(1, keepdims=True)
-            p = np.exp(logits)
-            p /= p.sum(1, keepdims=True)
-            err = (p - target[rows]) * weight[rows, None] / len(rows)
-            g_mean = err @ out.T / sizes[:, None]
-            grads = (None, mean.T @ err + decay * out, err.sum(0))
+            g_mean, g_out, g_bias = gradients(emb, out, bias, ids, sizes, target[rows], weight[rows])
+            grads = (None, g_out + decay * out, g_bias)
             for param, acc, g in ((out, sums[1], grads[1]), (bias, sums[2], grads[2])):
                 acc += g * g
                 param -= step * g / np.sqrt(acc)
@@ -169,7 +178,9 @@ def fit(
     label_col: str = "toxic",
     sample_per_class: int = SAMPLE_PER_CLASS,
 ) -> Model:
-    """``labels``: the rows that may be learned from."""
+    """``labels``: the rows that may be learned from. Every text of a labelled identifier is
+    learned once (copies of one text under one identifier count once); an identifier with both
+    labels is toxic. The sample is bounded in identifiers, see ``sample_per_class``."""
     ensure_columns(docs, id_col, text_col)
     ensure_columns(labels, id_col, label_col)
     known = labels.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("int").alias("label"))
@@ -179,7 +190,7 @@ def fit(
     sample = drawn[0].unionAll(drawn[1])  # bounded: two times sample_per_class rows
     rows = texts.join(F.broadcast(sample), "id").select("id", "label", "text")
     got = rows.mapInArrow(tidy(_bags), "id long, label int, ids binary").toPandas()
-    got = got.sort_values(["id", "ids"]).drop_duplicates("id")
+    got = got.drop_duplicates().sort_values(["id", "ids"])
     bags = [np.frombuffer(ids, np.int32) for ids in got["ids"]]
     return train(bags, got["label"].to_numpy(np.int64))
 
