@@ -62,3 +62,22 @@ def test_same_as_sql(spark, messages, tmp_path):
 
 def test_empty_table(messages):
     assert chat.in_reply_order(messages([])).count() == 0
+
+
+def test_the_query_links_many_messages(spark):
+    from oracle import SF
+
+    from textloom.llm import queries
+
+    rows = queries.op3_quotation_linking(spark, SF).collect()
+    linked = [r for r in rows if r.n_linked]
+    assert len(linked) > len(rows) / 4
+    assert all(0 <= r.thread <= r.reply_to < r.turn for r in linked)
+
+
+def test_very_long_messages(spark):
+    long = "\n".join(f"line {i} {'x' * (i % 50)}" for i in range(20_000))
+    rows = [(1, 0, "user", long), (1, 1, "bot", "> " + long.split("\n")[777] + "\nyes")]
+    table = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = {r.turn: r for r in chat.in_reply_order(table).collect()}
+    assert got[1].reply_to == 0 and got[1].text == "yes" and got[0].text == long

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textloom.llm import chat, exact_dedup, kneser_ney, mixing, near_dedup, pieces, search, secrets, toxicity, warc
@@ -39,16 +39,46 @@ def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded.select(F.col("id").alias("doc_id"), "n_pieces", "round_trip", F.col("ids").alias("piece_ids"))
 
 
+def quoting_replies(messages: DataFrame) -> DataFrame:
+    """The conversations as mail programs would send them: a message opens with quotations of the
+    two turns before it, the older one a level deeper, in even turns only and with its white space
+    changed; in every third turn only the first line of the turn before is quoted."""
+    said = messages.groupBy("conv_id", "turn").agg(F.min(F.coalesce("text", F.lit(""))).alias("said"))
+
+    def before(n: int) -> DataFrame:
+        return said.select("conv_id", (F.col("turn") + n).alias("turn"), F.col("said").alias(f"said{n}"))
+
+    def quoted(text: Column, mark: str) -> Column:
+        return F.concat(F.array_join(F.transform(F.split(text, "\n"), lambda x: F.concat(F.lit(mark), x)), "\n"), F.lit("\n"))
+
+    rows = messages.join(before(1), ["conv_id", "turn"], "left").join(before(2), ["conv_id", "turn"], "left")
+    older = F.when(F.col("turn") % 2 == 0, quoted(F.replace("said2", F.lit(" "), F.lit("  ")), "> >  "))
+    part = F.when(F.col("turn") % 3 == 0, F.split("said1", "\n")[0]).otherwise(F.col("said1"))
+    text = F.concat(F.coalesce(older, F.lit("")), F.coalesce(quoted(part, "> "), F.lit("")), F.coalesce("text", F.lit("")))
+    return rows.select("conv_id", "turn", "role", text.alias("text"))
+
+
 @query
 def op3_quotation_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every conversation in reply order, without quotations."""
+    """Every conversation, sent with quotations, in reply order and without them."""
     messages = spark.read.parquet(f"{sf_dir}/conversations.parquet")
-    return chat.in_reply_order(messages).withColumnRenamed("conv", "conv_id")
+    return chat.in_reply_order(quoting_replies(messages)).withColumnRenamed("conv", "conv_id")
 
 
 SQL["op3_quotation_linking"] = r"""
-WITH RECURSIVE msgs AS (
-  SELECT DISTINCT conv_id AS conv, turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text FROM conversations),
+WITH RECURSIVE said AS (SELECT conv_id, turn, min(coalesce(text, '')) AS said FROM conversations GROUP BY ALL),
+sent AS (
+  SELECT c.conv_id, c.turn, c.role,
+    CASE WHEN b.said IS NOT NULL AND c.turn % 2 = 0 THEN array_to_string(list_transform(
+      string_split(replace(b.said, ' ', '  '), chr(10)), lambda x: '> >  ' || x), chr(10)) || chr(10) ELSE '' END
+    || CASE WHEN a.said IS NOT NULL THEN array_to_string(list_transform(
+      string_split(CASE WHEN c.turn % 3 = 0 THEN string_split(a.said, chr(10))[1] ELSE a.said END, chr(10)),
+      lambda x: '> ' || x), chr(10)) || chr(10) ELSE '' END
+    || coalesce(c.text, '') AS text
+  FROM conversations c LEFT JOIN said a ON a.conv_id = c.conv_id AND a.turn = c.turn - 1
+  LEFT JOIN said b ON b.conv_id = c.conv_id AND b.turn = c.turn - 2),
+msgs AS (
+  SELECT DISTINCT conv_id AS conv, turn, coalesce(role, 'unknown') AS role, text FROM sent),
 m AS (SELECT *, md5(role || chr(10) || text) AS msg FROM msgs),
 ln AS (SELECT conv, turn, msg, unnest(string_split(text, chr(10))) AS line,
   unnest(range(1, len(string_split(text, chr(10))) + 1)) AS n FROM m),
