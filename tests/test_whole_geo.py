@@ -60,7 +60,7 @@ def test_every_point_is_reconciled(spark):
     from textloom.plans import adapters as A
 
     points = [r.asDict() for r in A.points(spark, SF).collect()]
-    got = ranked(QUERIES["q_geo_reconcile_all"](spark, SF).collect())
+    got = ranked(QUERIES["q_geo_reconcile"](spark, SF).collect())
     assert set(got) == {p["mention"] for p in points}
     assert got == brute(points)
 

@@ -18,13 +18,13 @@ def real_lines(spark):
 
 def test_no_real_line_is_lost(spark):
     real = real_lines(spark)
-    got = Counter((r.volume, r.line) for r in A.whole_lines(spark, SF).collect())
+    got = Counter((r.volume, r.line) for r in A.lines(spark, SF).collect())
     assert not real - got
     assert {"1) note", "", "834—1264."} <= {line for _, line in (got - real)}
 
 
 def test_real_lines_are_no_headers(spark):
-    tagged = segment.tag_lines(A.whole_lines(spark, SF))
+    tagged = segment.tag_lines(A.lines(spark, SF))
     headers = tagged.where("tag = 'page_header'").select("line").distinct().collect()
     assert headers and all(r.line.startswith("- ") for r in headers)
     kinds = {r.tag for r in tagged.select("tag").distinct().collect()}
@@ -32,6 +32,6 @@ def test_real_lines_are_no_headers(spark):
 
 
 def test_texts_of_segments_have_all_bodies(spark):
-    tagged = segment.tag_lines(A.whole_lines(spark, SF))
+    tagged = segment.tag_lines(A.lines(spark, SF))
     text = "".join(r.text for r in segment.assemble(tagged).select("text").collect())
     assert all(r.line + "\n" in text for r in tagged.where("tag = 'body'").select("line").distinct().collect())

@@ -14,7 +14,7 @@ def keys(spark, table, key):
 
 def test_stores_have_every_row(spark):
     s, c = keys(spark, "supplier", "s_suppkey"), {k + 3 for k in keys(spark, "customer", "c_custkey")}
-    got = {r.key: r.found_in for r in QUERIES["q_reconcile_full_outer_all"](spark, SF).collect()}
+    got = {r.key: r.found_in for r in QUERIES["q_reconcile_full_outer"](spark, SF).collect()}
     conflicts = {k for k in s & c if k % 10 == 1}
     assert set(got) == (s | c) - conflicts
     assert set(got.values()) == {"a", "b", "both"}
@@ -23,7 +23,7 @@ def test_stores_have_every_row(spark):
 def test_pairs_have_every_row(spark):
     stored = {(r.a, r.b) for r in A.pairs(spark, SF).collect()}
     fresh = {(k, k + 1 + k % 3) for k in keys(spark, "customer", "c_custkey")}
-    got = {(r.a, r.b) for r in QUERIES["q_upsert_pairs_all"](spark, SF).collect()}
+    got = {(r.a, r.b) for r in QUERIES["q_upsert_pairs"](spark, SF).collect()}
     assert got == stored | fresh and stored - fresh and fresh - stored and stored & fresh
 
 
@@ -34,5 +34,5 @@ def test_references_look_at_every_row(spark):
         p = ref + 4 if ref + 4 in c and (ref + 4) % 8 == ref % 4 else None
         k = ref if ref in c and ref % 3 else None
         want[ref] = (k or p) if ref % 2 == 0 else (p or k)
-    got = {r.ref: r.pk for r in QUERIES["q_resolve_references_all"](spark, SF).collect()}
+    got = {r.ref: r.pk for r in QUERIES["q_resolve_references"](spark, SF).collect()}
     assert got == want and {x % 3 for x in got.values() if x} == {0, 1, 2}

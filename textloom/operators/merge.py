@@ -15,19 +15,18 @@ def survivors(groups: DataFrame) -> DataFrame:
     return groups.join(smallest, "grp").select("pk", "survivor")
 
 
-def union_lists(values: Column, order: Column) -> Column:
-    """An aggregate: the ``;``-lists' items in order, the first spelling of each, joined again."""
-    return _unique(F.array_sort(F.collect_list(F.struct(order.alias("o"), values.alias("v")))))
-
-
-def _unique(rows: Column) -> Column:
-    items = F.flatten(F.transform(rows, lambda r: split_plain(r["v"])))
-    return F.array_join(_first_spellings(items), ";")
-
-
-def _first_spellings(items: Column) -> Column:
-    lowered = F.transform(items, F.lower)
-    return F.filter(items, lambda x, i: F.array_position(lowered, F.lower(x)) == i + 1)
+def united_lists(rows: DataFrame, key: str, lists: list[tuple[str, int, Column]], *order: str) -> DataFrame:
+    """A row per ``key`` that has items: for each name in ``lists`` (name, turn, ``;``-list), an
+    array of the distinct items, whatever their case, in the spelling and place of the first. Lists
+    come by turn, then by the columns ``order``. Items are rows until they are distinct."""
+    every = F.array(*[F.struct(F.lit(c).alias("c"), F.lit(k).alias("k"), v.cast("string").alias("v")) for c, k, v in lists])
+    cut = rows.select(key, *order, F.explode(every).alias("l"))
+    items = cut.select(key, *order, "l.c", "l.k", F.posexplode(split_plain(F.col("l.v"))).alias("i", "item"))
+    first = F.min(F.struct("k", *order, "i", "item")).alias("first")
+    distinct = items.groupBy(key, "c", F.lower("item").alias("lowered")).agg(first)
+    names = list(dict.fromkeys(c for c, _, _ in lists))
+    ordered = [F.array_sort(F.collect_list(F.when(F.col("c") == c, F.col("first")))) for c in names]
+    return distinct.groupBy(key).agg(*[F.transform(o, lambda x: x["item"]).alias(c) for o, c in zip(ordered, names, strict=True)])
 
 
 def first_nonblank(value: Column, order: Column) -> Column:
@@ -51,36 +50,30 @@ def merge_rows(
     tied = rows.join(mapping, "pk", "left").withColumn("survivor", F.coalesce("survivor", "pk"))
     is_other = (F.col("pk") != F.col("survivor")).cast("int")
     order = F.struct(is_other, F.col("pk"))
-    named = F.concat(F.lit(";"), F.coalesce(F.col(name), F.lit("")))
-    variant_rows = F.array_sort(F.collect_list(F.struct(is_other.alias("x"), F.col("pk").alias("p"), F.col(variants).alias("v"))))
-    dropped_names = F.array_sort(
-        F.collect_list(F.when(is_other == 1, F.struct(is_other.alias("x"), F.col("pk").alias("p"), named.alias("v"))))
-    )
-    merged_rows = F.array_sort(F.collect_list(F.struct(is_other.alias("x"), F.col("pk").alias("p"), F.col("merged_volumes").alias("v"))))
-    other_volumes = F.array_sort(
-        F.collect_list(F.when(is_other == 1, F.struct(is_other.alias("x"), F.col("pk").alias("p"), F.col("source_volume").cast("string").alias("v"))))
-    )
     out = tied.groupBy("survivor").agg(
         F.min_by(name, order).alias(name),
         F.min_by(F.struct("source_volume"), order).alias("own"),
-        F.concat(variant_rows, dropped_names).alias("all_names"),
-        F.concat(merged_rows, other_volumes).alias("all_volumes"),
-        *[union_lists(F.col(c), order).alias(c) for c in unions],
         *[first_nonblank(F.col(c), order).alias(c) for c in firsts],
         *[F.min(c).alias(c) for c in least],
         *[F.max(c).alias(c) for c in most],
         *[F.min_by(c, F.when(F.col(c).isNotNull(), order)).alias(c) for c in first_known],
     )
-    items = lambda c: _first_spellings(F.flatten(F.transform(c, lambda r: split_plain(r["v"]))))
+    other = F.col("x") == 1
+    lists = [(c, 0, F.col(c)) for c in (*unions, variants, "merged_volumes")]
+    lists += [(variants, 1, F.when(other, F.col(name))), ("merged_volumes", 1, F.when(other, F.col("source_volume")))]
+    united = united_lists(tied.withColumn("x", is_other), "survivor", lists, "x", "pk")
+    none = F.array().cast("array<string>")
+    items = lambda c: F.coalesce(united[c], none)
+    out = out.join(united, "survivor", "left")
     own_name = F.lower(strip(F.col(name)))
     own_volume = F.coalesce(F.col("own.source_volume").cast("string"), F.lit(""))
     return out.select(
         F.col("survivor").alias("pk"),
         name,
-        F.array_join(F.filter(items(F.col("all_names")), lambda x: F.lower(x) != own_name), ";").alias(variants),
-        *unions, *firsts, *least, *most, *first_known,
+        F.array_join(F.filter(items(variants), lambda x: F.lower(x) != own_name), ";").alias(variants),
+        *[F.array_join(items(c), ";").alias(c) for c in unions], *firsts, *least, *most, *first_known,
         F.col("own.source_volume").alias("source_volume"),
-        F.array_join(F.filter(items(F.col("all_volumes")), lambda x: x != own_volume), ";").alias("merged_volumes"),
+        F.array_join(F.filter(items("merged_volumes"), lambda x: x != own_volume), ";").alias("merged_volumes"),
     )
 
 

@@ -13,36 +13,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """volume, page_no, pos, line: documents' lines, with openers, footnotes and blanks worked in."""
-    docs = table(spark, sf_dir, "documents")
-    raw = docs.select("doc_id", F.regexp_extract("source", r"src(\d+)", 1).cast("int").alias("volume"), F.posexplode(F.split("text", "\n")).alias("n", "line"))
-    n, line = F.col("n"), F.col("line")
-    year = (F.lit(834) + (F.col("doc_id") * 7 + n) % 700).cast("string")
-    shaped = (
-        F.when(n % 27 == 9, F.concat(F.lit("XII. "), F.substring(line, 1, 40)))
-        .when(n % 27 == 18, "834—1264.")
-        .when(n % 9 == 0, F.concat(year, F.lit(".")))
-        .when(n % 9 == 4, F.concat(F.lit("1) "), line))
-        .when(n % 9 == 6, F.concat(line, F.lit(" ...... 7")))
-        .when(n % 9 == 8, "")
-        .otherwise(line)
-    )
-    pos = F.row_number().over(W.partitionBy("volume").orderBy("doc_id", "n")).cast("long")
-    page = F.col("doc_id") * 10_000 + F.floor(n / 20)
-    return raw.select("volume", page.alias("page_no"), pos.alias("pos"), shaped.alias("line"))
-
-
-LINES = r"""raw AS (
-  SELECT doc_id, CAST(regexp_extract(source, 'src(\d+)', 1) AS INTEGER) AS volume,
-    unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS n FROM documents),
-lines AS (
-  SELECT volume, doc_id * 10000 + n // 20 AS page_no, row_number() OVER (PARTITION BY volume ORDER BY doc_id, n) AS pos,
-    CASE WHEN n % 27 = 9 THEN 'XII. ' || substr(line, 1, 40) WHEN n % 27 = 18 THEN '834—1264.'
-      WHEN n % 9 = 0 THEN (834 + (doc_id * 7 + n) % 700)::VARCHAR || '.' WHEN n % 9 = 4 THEN '1) ' || line
-      WHEN n % 9 = 6 THEN line || ' ...... 7' WHEN n % 9 = 8 THEN '' ELSE line END AS line FROM raw)"""
-
-
-def whole_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """volume, page_no, pos, line: every line of the documents as it is, with page headers, openers, footnotes
     and blanks as further lines beside them. Headers and openers stand before a line, blanks after it."""
     docs = table(spark, sf_dir, "documents")
@@ -59,12 +29,17 @@ def whole_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     shaped = F.posexplode(F.array(header, extra, line, F.when(n % 9 == 8, ""))).alias("k", "line")
     rows = raw.select("doc_id", "volume", "n", shaped).where("line is not null")
-    pos = F.row_number().over(W.partitionBy("volume").orderBy("doc_id", "n", "k")).cast("long")
+    # a document's lines come after all lines of those before it
+    counts = rows.groupBy("volume", "doc_id").agg(F.count(F.lit(1)).alias("n_lines"))
+    before = W.partitionBy("volume").orderBy("doc_id").rowsBetween(W.unboundedPreceding, -1)
+    heads = counts.select(F.col("doc_id").alias("of"), F.coalesce(F.sum("n_lines").over(before), F.lit(0)).alias("head"))
+    inside = F.row_number().over(W.partitionBy("doc_id").orderBy("n", "k"))
     page = F.col("doc_id") * 10_000 + F.floor(n / 20)
-    return rows.select("volume", page.alias("page_no"), pos.alias("pos"), "line")
+    placed = rows.join(heads, F.col("doc_id") == F.col("of"))
+    return placed.select("volume", page.alias("page_no"), (F.col("head") + inside).cast("long").alias("pos"), "line")
 
 
-WHOLE_LINES = r"""raw AS (
+LINES = r"""raw AS (
   SELECT doc_id, CAST(regexp_extract(source, 'src(\d+)', 1) AS INTEGER) AS volume,
     unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS n FROM documents),
 worked AS (

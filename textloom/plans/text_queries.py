@@ -97,37 +97,6 @@ def q_length_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return segment.length_outliers(found, factor=2).select("volume", "seq", "n_lines", "median")
 
 
-def _whole_sql(name: str) -> str:
-    """The statement of ``name`` over whole texts."""
-    return SQL[name].replace(A.LINES, A.WHOLE_LINES)
-
-
-@query(_whole_sql("q_line_tags"))
-def q_line_tags_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The kind of every line of whole texts."""
-    return segment.tag_lines(A.whole_lines(spark, sf_dir)).select("volume", "pos", "tag")
-
-
-@query(_whole_sql("q_segments"))
-def q_segments_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents assembled from whole texts."""
-    found = segment.assemble(segment.tag_lines(A.whole_lines(spark, sf_dir)))
-    return found.select("volume", "seq", "page_start", "date_header", "n_lines", F.md5("text").alias("text_md5"))
-
-
-@query(_whole_sql("q_candidate_context"))
-def q_candidate_context_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What stands around each line of whole texts that may open a document."""
-    return segment.candidate_context(segment.tag_lines(A.whole_lines(spark, sf_dir)))
-
-
-@query(_whole_sql("q_length_outliers"))
-def q_length_outliers_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents from whole texts more than twice as long as their volume's median."""
-    found = segment.assemble(segment.tag_lines(A.whole_lines(spark, sf_dir)))
-    return segment.length_outliers(found, factor=2).select("volume", "seq", "n_lines", "median")
-
-
 @query(r"""
 WITH raw AS (SELECT p_partkey, p_brand || '; ' || p_type || ' (a; ' || p_size || ')' AS r FROM part),
 items AS (SELECT p_partkey, list_transform(regexp_extract_all(r, '(?:\([^)]*\)|[^;])+'), lambda x: trim(x)) AS xs FROM raw)
