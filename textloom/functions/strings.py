@@ -132,3 +132,12 @@ def contains_in(needle: str, *columns: str) -> Column:
     """Whether the columns, joined by spaces (null as empty), contain the text, whatever the case."""
     joined = F.concat_ws(" ", *[or_empty(F.col(x).cast("string")) for x in columns])
     return F.contains(F.lower(joined), F.lit(needle.lower()))
+
+
+# Fixed value: a line that is a date, as the simplest headers of documents are.
+SIMPLE_HEADER = r"^\s*(\d{1,2}\.\s+\w+\s+\d{3,4}|\d{3,4}\.\s+\w+\s+\d{1,2}|\d{3,4})\.\s*$"
+
+
+def has_simple_header(c: Column) -> Column:
+    """Whether any line of a text is one."""
+    return c.rlike("(?Um)" + SIMPLE_HEADER)

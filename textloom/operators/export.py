@@ -88,3 +88,37 @@ def volumes_of(*columns: tuple[DataFrame, str]) -> DataFrame:
     for t, c in columns[1:]:
         every = every.union(t.select(F.col(c).cast("long")))
     return every.where("volume is not null").distinct()
+
+
+# The columns of the flat export, in its order.
+NAME_COLUMNS = [
+    "charter_id", "shelfmark", "di_reference", "date", "date_uncertain", "doc_type", "subject", "outcome", "persons_by_role", "scribe",
+    "scribe_source", "location_written", "location_hearing", "locations_mentioned_ids", "seal_info", "language", "grantor_id", "recipient_id",
+]
+
+
+def name_rows(documents: DataFrame, persons: DataFrame, places: DataFrame, person_ids: DataFrame, place_ids: DataFrame) -> DataFrame:
+    """As ``document_rows``, for a flat export with names as they were written: ``places`` have a
+    name too. Adds grantor_id, recipient_id, persons_by_role (names only), location_written and
+    location_hearing (names), locations_mentioned_ids."""
+    role, o = F.lower(or_empty(F.col("role"))), F.struct("ordinal", "name")
+    with_id = persons.join(person_ids.select("pk", "display_id"), "pk", "left").withColumn("id", or_empty(F.col("display_id")))
+    p = with_id.groupBy("doc").agg(
+        first_where(F.col("id"), o, F.contains(role, F.lit("issuer"))).alias("grantor_id"),
+        first_where(F.col("id"), o, role == "recipient").alias("recipient_id"),
+        by_role(F.col("role"), F.col("name"), F.col("ordinal")).alias("persons_by_role"),
+    )
+    where = places.join(place_ids.select("pk", "display_id"), "pk", "left")
+    known = F.array_sort(F.collect_list(F.when(F.col("display_id").isNotNull(), F.struct(F.col("ordinal").alias("o"), F.col("display_id").alias("i")))))
+    q = where.groupBy("doc").agg(
+        first_where(or_empty(F.col("name")), o, F.col("role") == "loc.writing").alias("location_written"),
+        first_where(or_empty(F.col("name")), o, F.col("role") == "loc.hearing").alias("location_hearing"),
+        F.array_join(F.array_distinct(F.transform(known, lambda x: x["i"])), "; ").alias("locations_mentioned_ids"),
+    )
+    text = ["grantor_id", "recipient_id", "persons_by_role", "location_written", "location_hearing", "locations_mentioned_ids"]
+    return documents.join(p, "doc", "left").join(q, "doc", "left").fillna("", text)
+
+
+def count_by(rows: DataFrame, *keys: str) -> DataFrame:
+    """Rows by class, the commonest first; null is a class."""
+    return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), *keys)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import tempfile
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 
 from textloom.functions.measures import haversine_km
 from textloom.functions.similarity import SCORERS, token_sort_ratio
-from textloom.functions.strings import normalise_place, or_empty, strip, valley_stem
+from textloom.functions.strings import float_or_null, normalise_place, or_empty, strip, valley_stem
 
 KM_PER_DEGREE = math.pi * 6371.0 / 180
 
@@ -53,7 +54,16 @@ def nearest(pairs: DataFrame, n: int) -> DataFrame:
 
 
 def _cut(df: DataFrame) -> DataFrame:
-    return df.checkpoint() if df.sparkSession.sparkContext.getCheckpointDir() else df.localCheckpoint()
+    """``checkpoint()`` in the folder that ``spark.checkpoint.dir`` names; only a local master may go without."""
+    sc = df.sparkSession.sparkContext
+    root = df.sparkSession.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if not root:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+        root = "file://" + tempfile.mkdtemp(prefix="textloom-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(root)
+    return df.checkpoint()
 
 
 def nearest_within(points: DataFrame, places: DataFrame, n: int, max_km: float, block: str | None = None) -> DataFrame:
@@ -201,3 +211,16 @@ def valley_candidates(valleys: DataFrame, districts: DataFrame) -> DataFrame:
     v = valleys.select("valley", valley_stem(F.col("valley")).alias("v")).where("v <> ''").distinct()
     d = districts.select("district", valley_stem(F.col("district")).alias("d")).where("d <> ''").distinct()
     return v.join(d, F.contains("v", "d") | F.contains("d", "v")).select("valley", "district").orderBy("valley", "district")
+
+
+def to_geocode(places: DataFrame, ungeocoded_only: bool = False) -> DataFrame:
+    """``places``: pk, canonical_name, place_type, district, region, modern_equivalent, lat and lng as
+    text. What a second gazetteer is asked for: mention, name, district (else the region), region
+    (else the modern equivalent), place_type, lat, lng, geocoded (it has a latitude)."""
+    first = lambda *columns: F.coalesce(*[F.nullif(F.col(c), F.lit("")) for c in columns], F.lit(""))
+    rows = places.select(
+        F.col("pk").alias("mention"), or_empty(F.col("canonical_name")).alias("name"), first("district", "region").alias("district"),
+        first("region", "modern_equivalent").alias("region"), or_empty(F.col("place_type")).alias("place_type"),
+        float_or_null(F.col("lat")).alias("lat"), float_or_null(F.col("lng")).alias("lng"),
+    ).withColumn("geocoded", F.col("lat").isNotNull())
+    return rows.where(~F.col("geocoded")) if ungeocoded_only else rows

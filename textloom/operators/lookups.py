@@ -119,6 +119,28 @@ def fill_from_match(rows: DataFrame, matches: DataFrame, column: str) -> DataFra
     return joined.withColumns({"status": state, column: prefer(F.col(column), F.col("__value"))}).drop("__value")
 
 
+def corrections(rows: DataFrame, matches: DataFrame, columns: list[str], apply: bool = False) -> DataFrame:
+    """``rows``: id, review_status and columns; ``matches``: id, pk, strategy and the columns as the
+    authority has them. Annotates each row with pk, ``strategy``, ``changes`` (columns that differ)
+    and ``correction``: unmatched, unchanged, held (its review bars it) or, unless ``apply`` is
+    false, corrected; a dry run says would_correct and leaves the values."""
+    m = matches.select("id", "pk", "strategy", *[F.col(c).alias(f"__{c}") for c in columns])
+    both = rows.join(m, "id", "left")
+    differs = {c: blank_to_null(F.col(f"__{c}")).isNotNull() & ~F.col(c).eqNullSafe(F.col(f"__{c}")) for c in columns}
+    changes = F.concat_ws(",", *[F.when(F.coalesce(d, F.lit(False)), F.lit(c)) for c, d in differs.items()])
+    both = both.withColumn("changes", changes)
+    state = (
+        F.when(F.col("pk").isNull(), "unmatched")
+        .when(F.col("changes") == "", "unchanged")
+        .when(~may_export(F.col("review_status")), "held")
+        .otherwise("corrected" if apply else "would_correct")
+    )
+    both = both.withColumn("correction", state)
+    if apply:
+        both = both.withColumns({c: F.when((F.col("correction") == "corrected") & blank_to_null(F.col(f"__{c}")).isNotNull(), F.col(f"__{c}")).otherwise(F.col(c)) for c in columns})
+    return both.drop(*[f"__{c}" for c in columns])
+
+
 def extract(segments: DataFrame, extractor: Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]], done: DataFrame | None = None) -> DataFrame:
     """``segments``: filename, text. Each segment that isn't done without an error, given to a hook that
     maps frames of both columns to frames of filename and reply."""

@@ -87,3 +87,10 @@ def counts_agree(sources: DataFrame, loaded: DataFrame, key: str) -> DataFrame:
     m = loaded.groupBy(key).agg(F.count_if(~F.col("skipped")).alias("n_loaded"), F.count_if("skipped").alias("n_skipped"))
     both = s.join(m, key, "full").fillna(0)
     return both.withColumn("agree", F.col("n_loaded") + F.col("n_skipped") == F.col("n_source"))
+
+
+def key_report(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
+    """Distinct keys by where they are: key, found_in (a, b or both). Null is a key."""
+    both = a.select(key).intersect(b.select(key)).withColumn("found_in", F.lit("both"))
+    only = lambda x, y, name: x.select(key).distinct().exceptAll(y.select(key).distinct()).withColumn("found_in", F.lit(name))
+    return both.unionAll(only(a, b, "a")).unionAll(only(b, a, "b"))

@@ -114,6 +114,54 @@ def apply_actions(entities: DataFrame, commands: DataFrame) -> DataFrame:
     return entities.join(last, "pk", "left").withColumn("review_status", F.coalesce("__act", "review_status")).drop("__act")
 
 
+#: What a reviewer may do with an item of each kind. "next" is offered for all and changes nothing.
+STATUSES = {"new_person": ("ok", "add", "skip"), "new_place": ("ok", "add", "skip", "no_match")}
+ACTIONS = {
+    **{kind: (*statuses, "merge") for kind, statuses in STATUSES.items()},
+    "person_dup": ("same", "different", "merge"),
+    "place_dup": ("same", "different"),
+    "review_item": ("accept", "reject"),
+}
+
+
+def dispatch(
+    commands: DataFrame, persons: DataFrame, places: DataFrame, person_pairs: DataFrame, place_pairs: DataFrame, items: DataFrame
+) -> dict[str, DataFrame]:
+    """``commands``: at, item_type, item_id, match_pk, action; the last one for an item counts.
+    Persons and places (pk, review_status), pairs (candidate_pk, a, b, decision) and review items
+    (item_id, decision, status) as the commands leave them; ``person_merges`` and ``place_merges``,
+    mappings (pk, survivor) for ``merge.merge_rows`` and ``merge.relink`` (a pair merges into its
+    smaller end, and is decided as same); ``refused``: commands that no item of their kind takes."""
+    last = commands.groupBy("item_type", "item_id").agg(F.max_by(F.struct("at", "match_pk", "action"), "at").alias("c")).select("item_type", "item_id", "c.*")
+    allowed = reduce(lambda x, y: x | y, [(F.col("item_type") == k) & F.col("action").isin("next", *v) for k, v in ACTIONS.items()])
+    valid = last.where(allowed)
+    refused = commands.join(last.where(~F.coalesce(allowed, F.lit(False))).select("item_type", "item_id", "at"), ["item_type", "item_id", "at"], "left_semi")
+
+    def of(kind: str, *actions: str) -> DataFrame:
+        return valid.where((F.col("item_type") == kind) & F.col("action").isin(*actions))
+
+    def with_status(rows: DataFrame, kind: str) -> DataFrame:
+        return apply_actions(rows, of(kind, *STATUSES[kind]).select(F.col("item_id").alias("pk"), "action", "at"))
+
+    def decided(pairs: DataFrame, kind: str) -> DataFrame:
+        act = F.when(F.col("action") == "merge", "same").otherwise(F.col("action")).alias("__new")
+        new = of(kind, "same", "different", "merge").select(F.col("item_id").alias("candidate_pk"), act)
+        return pairs.join(new, "candidate_pk", "left").withColumn("decision", F.coalesce("__new", "decision")).drop("__new")
+
+    into = lambda kind: of(kind, "merge").where("match_pk is not null").select(F.col("item_id").alias("pk"), F.col("match_pk").alias("survivor"))
+    ends = person_pairs.join(of("person_dup", "merge").select(F.col("item_id").alias("candidate_pk")), "candidate_pk", "left_semi")
+    return {
+        "persons": with_status(persons, "new_person"),
+        "places": with_status(places, "new_place"),
+        "person_pairs": decided(person_pairs, "person_dup"),
+        "place_pairs": decided(place_pairs, "place_dup"),
+        "items": record_decisions(items, of("review_item", "accept", "reject").select("item_id", F.col("action").alias("decision"))),
+        "person_merges": into("new_person").unionAll(ends.select(F.greatest("a", "b").alias("pk"), F.least("a", "b").alias("survivor"))).distinct(),
+        "place_merges": into("new_place"),
+        "refused": refused,
+    }
+
+
 def purge(volume: int, documents: DataFrame, children: dict[str, DataFrame], entities: DataFrame, pairs: DataFrame) -> dict[str, DataFrame]:
     """The tables without a volume: its documents, what hangs on them, its provisional entities and
     the pairs that name one of those. Children have ``doc``."""
@@ -144,3 +192,18 @@ def integrity(entities: DataFrame, links: DataFrame, pairs: DataFrame) -> DataFr
     twice = pairs.groupBy("a", "b").count().where("count > 1")
     checks = {"broken_links": broken, "repeated_ids": repeated, "pairs_out_of_order": wrong, "repeated_pairs": twice}
     return reduce(DataFrame.unionAll, [rows.agg(F.count(F.lit(1)).alias("n")).select(F.lit(k).alias("check"), "n") for k, rows in checks.items()])
+
+
+def split_counts(entities: DataFrame, splits: DataFrame) -> DataFrame:
+    """``splits``: old_id, new_display_id. For each split identifier the entities that have it, how
+    many there should be (itself and one for each new one), and whether they are as many."""
+    wanted = splits.groupBy("old_id").agg((F.count(F.lit(1)) + 1).alias("n_wanted"))
+    there = entities.groupBy(F.col("legacy_id").alias("old_id")).agg(F.count(F.lit(1)).alias("n_there"))
+    rows = wanted.join(there, "old_id", "left").fillna(0, ["n_there"])
+    return rows.withColumn("agree", F.col("n_there") == F.col("n_wanted"))
+
+
+def spot_check(rows: DataFrame, key: str, n: int = 10, seed: int = 42) -> DataFrame:
+    """``n`` rows in the order of a seeded hash of their key: the same ones whatever the partitioning."""
+    tag = F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))
+    return rows.withColumn("tag", tag).orderBy("tag", key).limit(n).drop("tag")

@@ -141,11 +141,25 @@ def candidate_context(tagged: DataFrame, keep: int = 3, reach: int = 10) -> Data
 
 def classify_candidates(contexts: DataFrame, classifier: Callable | None = None) -> DataFrame:
     """volume, pos, class, correction. ``classifier`` maps an iterator of pandas frames (in batches)
-    to frames of these columns; without one every candidate is uncertain."""
+    to frames of these columns; without one every candidate is uncertain, and so are those of a batch
+    for which it fails or that it leaves out."""
     if classifier is None:
         return contexts.select("volume", "pos", F.lit("uncertain").alias("class"), F.lit("").alias("correction"))
     kind = contexts.schema["volume"].dataType.simpleString()
-    return contexts.mapInPandas(classifier, f"volume {kind}, pos long, class string, correction string")
+
+    def guarded(frames):
+        for frame in frames:
+            try:
+                found = [f for f in classifier(iter([frame]))]
+            except Exception:  # a hook's failure is an answer: none of the batch is known
+                found = []
+            answers = {(v, p): (c, k) for f in found for v, p, c, k in f[["volume", "pos", "class", "correction"]].itertuples(index=False)}
+            rows = frame[["volume", "pos"]].copy()
+            of = [answers.get((v, p), ("uncertain", "")) for v, p in rows.itertuples(index=False)]
+            rows["class"], rows["correction"] = [c for c, _ in of], [k for _, k in of]
+            yield rows
+
+    return contexts.mapInPandas(guarded, f"volume {kind}, pos long, class string, correction string")
 
 
 def assemble(tagged: DataFrame, classes: DataFrame | None = None, opening: str = "new_document") -> DataFrame:

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from textloom.operators.export import NAME_COLUMNS
+
 
 def write_volumes(df: DataFrame, path: str, force: bool = False) -> None:
     """Partitioned by volume. A volume that is there already is refused, or replaced if forced;
@@ -30,6 +34,12 @@ def write_csv(df: DataFrame, path: str, columns: list[str] | None = None) -> Non
     df.select(*flat).write.mode("overwrite").option("header", True).option("emptyValue", "").csv(path)
 
 
+def write_names(rows: DataFrame, path: str) -> None:
+    """The flat export of documents with names (see ``export.name_rows``); what a row lacks is empty."""
+    have = set(rows.columns)
+    write_csv(rows.select(*[(F.col(c) if c in have else F.lit("")).alias(c) for c in NAME_COLUMNS]), path)
+
+
 def write_json(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
@@ -66,12 +76,15 @@ def write_segments(segments: DataFrame, path: str) -> None:
 
 
 def write_sheets(tables: dict[str, DataFrame], path: str) -> None:
-    """A workbook with a sheet for each table. Needs a spreadsheet engine for pandas."""
+    """A workbook with a sheet for each table; sheets of an earlier one that no table replaces are
+    carried over. Needs a spreadsheet engine for pandas; a workbook is written by the driver."""
     import pandas as pd
 
     try:
+        sheets = pd.read_excel(path, sheet_name=None) if os.path.exists(path) else {}
+        sheets |= {name: df.toPandas() for name, df in tables.items()}
         with pd.ExcelWriter(path) as book:
-            for name, df in tables.items():
-                df.toPandas().to_excel(book, sheet_name=name, index=False)
+            for name, frame in sheets.items():
+                frame.to_excel(book, sheet_name=name, index=False)
     except ImportError as e:
         raise RuntimeError("writing workbooks needs an engine for pandas.ExcelWriter") from e
