@@ -24,8 +24,8 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group that links of 0.8 on word pairs join."""
-    return near_dedup.near_deduplicate(docs, words=2, percent=80)
+    """One document of each group that links of 0.8 on five-word shingles join."""
+    return near_dedup.near_deduplicate(docs, words=5, percent=80)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
