@@ -35,7 +35,7 @@ def test_stages_in_turn(spark):
 
     apart = run_stage(spark, single, 2).cache()
     assert apart.columns == columns
-    groups = brute([(r.doc_id, r.text) for r in single.collect()], 2)
+    groups = brute([(r.doc_id, r.text) for r in single.collect()], 5)
     assert sorted(r.doc_id for r in apart.collect()) == sorted({c for _, c in groups.values()})
 
     mixed = run_stage(spark, apart, 3).cache()
