@@ -87,19 +87,21 @@ def reply_links(units: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def threads(replies: DataFrame) -> DataFrame:
-    """The turn that each chain of answers leads to: conv, turn, thread."""
-    at = replies.select("conv", "turn", F.col("reply_to").alias("thread"))
+    """The turn that each chain of answers leads to: conv, turn, thread. Pointers double in rounds,
+    and only those that have not reached the end of their chain take part in the next one."""
+    moving = replies.select("conv", "turn", F.col("reply_to").alias("thread"))
+    there = moving.where("false")
     while True:
-        above = at.select("conv", F.col("turn").alias("thread"), F.col("thread").alias("upper"))
-        jumped = at.join(above, ["conv", "thread"], "left")
+        above = moving.unionAll(there).select("conv", F.col("turn").alias("thread"), F.col("thread").alias("upper"))
+        jumped = moving.join(above, ["conv", "thread"], "left")
         jumped = written(
             jumped.select("conv", "turn", F.coalesce("upper", "thread").alias("thread"), F.col("upper").isNotNull().alias("moved")),
             "threads",
         )
-        moved = jumped.where("moved").limit(1).count()
-        at = jumped.select("conv", "turn", "thread")
-        if not moved:
-            return at
+        there = there.unionAll(jumped.where("not moved").drop("moved"))
+        moving = jumped.where("moved").drop("moved")
+        if not moving.limit(1).count():
+            return there
 
 
 def in_reply_order(
