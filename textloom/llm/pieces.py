@@ -43,7 +43,7 @@ MARK = "▁"
 _WORD = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 UNIGRAM, BPE = 1, 2
 #: Characters of texts whose words are sorted and encoded together.
-BLOCK_CHARS = 4_000_000
+BLOCK_CHARS = 1_000_000
 #: What UNK adds to a unigram score: below every piece by this much.
 UNKNOWN_PENALTY = 10.0
 
@@ -134,13 +134,14 @@ class Encoder:
         self.follows: dict[tuple[str, str], bool] = {}
         self.floor = min(vocabulary.scores, default=0.0) - UNKNOWN_PENALTY
         whole = (p for p in vocabulary.ids if vocabulary.model_type != BPE or self.merged(p) == [p])
-        #: Every end of a piece, and whether it is a piece that can stand: longer ends are only
-        #: looked at while shorter ones are known.
-        self.ends: dict[str, bool] = {}
+        #: Every end of a piece, and the piece itself if it is one that can stand, else nothing:
+        #: longer ends are only looked at while shorter ones are known. Known pairs hold these
+        #: strings, not slices of their own.
+        self.ends: dict[str, str] = {}
         for piece in whole:
             for at in range(1, len(piece)):
-                self.ends.setdefault(piece[at:], False)
-            self.ends[piece] = True
+                self.ends.setdefault(piece[at:], "")
+            self.ends[piece] = piece
 
     def merged(self, text: str) -> list[str]:
         """The pieces of a short text by merging: the best-scored neighbours first, from the left."""
@@ -177,14 +178,13 @@ class Encoder:
             known, longer = ends.get(piece), None
             while known is not None and start:
                 start -= 1
-                part = word[start:end]
-                known = ends.get(part)
+                known = ends.get(word[start:end])
                 if known:
                     if longer is None:
                         longer = [piece]
                     else:
                         longer.append(piece)
-                    piece = part
+                    piece = known
             # the longest piece first; then those within it
             while True:
                 at = end - len(piece)
