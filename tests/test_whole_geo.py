@@ -86,3 +86,30 @@ def test_nearest_within_is_nearest(spark, block):
     want = geomatch.nearest(geomatch.near(a, b, MAX_KM, block), 4).select("mention", "cand").collect()
     got = geomatch.nearest_within(a, b, 4, MAX_KM, block).select("mention", "cand").collect()
     assert sorted(got) == sorted(want)
+
+
+def test_nearest_others_is_nearest(spark):
+    r = random.Random(5)
+    rows = [(i, 64 + r.gauss(0, 0.1), -20 + r.gauss(0, 0.2)) for i in range(300)]
+    rows += [(1000 + i, 64.0, -20.0) for i in range(200)]  # one spot
+    rows += [(5, 64.0, -20.0), (5, 64.0, -20.0), (5, 64.01, -20.0), (None, 64.0, -20.0), (2000, None, -20.0), (2001, math.nan, -20.0), (2002, 64.0, math.inf), (2003, 10.0, 10.0)]
+    a = spark.createDataFrame(rows, "mention long, lat double, lng double")
+    sane = a.where("abs(lat) <= 90 and abs(lng) <= 180")
+    close = geomatch.near(sane, sane.toDF("cand", "c_lat", "c_lng"), 15)
+    want = geomatch.nearest(close.where("mention <> cand"), 3).select("mention", "cand", "km", "rank").collect()
+    got = geomatch.nearest_others(a, 3, 15).select("mention", "cand", "km", "rank").collect()
+    assert sorted(got) == sorted(want)
+    assert geomatch.nearest_others(a.limit(0), 3, 15).count() == 0
+
+
+def test_the_radius_query_does_not_make_all_pairs(spark, monkeypatch):
+    from textloom.plans import adapters as A
+
+    r = random.Random(6)
+    rows = [(i, 64 + r.gauss(0, 0.01), -20 + r.gauss(0, 0.02)) for i in range(1000)]
+    points = spark.createDataFrame(rows, "mention long, lat double, lng double")
+    monkeypatch.setattr(A, "points", lambda *_: points)
+    made, nearest = [], geomatch.nearest
+    monkeypatch.setattr(geomatch, "nearest", lambda pairs, n: made.append(pairs.count()) or nearest(pairs, n))
+    assert QUERIES["q_geo_radius"](spark, SF).count() == 3000
+    assert max(made) < 100_000  # of 999,000

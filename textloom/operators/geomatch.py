@@ -72,9 +72,12 @@ def nearest_within(points: DataFrame, places: DataFrame, n: int, max_km: float,
     spot have the same ones, so spots are joined. The radius starts small and doubles: a spot that has
     ``n`` places inside it is done, the others look again, up to ``max_km``."""
     on = [block] if block else []
+    real = lambda *columns: F.greatest(*[F.abs(F.col(c)) for c in columns]) < float("inf")  # noqa: E731  NaN is greatest
     first = F.row_number().over(W.partitionBy(*on, "c_lat", "c_lng").orderBy("cand"))
+    places = places.where(real("c_lat", "c_lng") & F.col("c_lat").isNotNull() & F.col("c_lng").isNotNull())
     thin = _cut(places.withColumn("r", first).where(F.col("r") <= n).drop("r"))
-    spots = points.where("lat is not null and lng is not null").groupBy(*on, "lat", "lng").agg(F.min("mention").alias("mention"))
+    spots = points.where(real("lat", "lng") & F.col("lat").isNotNull() & F.col("lng").isNotNull()).select(*on, "lat", "lng").distinct()
+    spots = spots.withColumn("mention", F.struct(*on, "lat", "lng"))  # identifiers may repeat
     left = spots = _cut(spots)
     blocks = thin.select(*on).distinct().count() if on else 1
     low, high = (F.struct(f("c_lat"), f("c_lng")) for f in (F.min, F.max))
@@ -100,10 +103,19 @@ def nearest_within(points: DataFrame, places: DataFrame, n: int, max_km: float,
     found = done[0]
     for more in done[1:]:
         found = found.unionAll(more)
-    found = found.withColumnRenamed("mention", "spot").join(spots.withColumnRenamed("mention", "spot"), "spot").drop("spot")
+    found = found.select("mention.*", "cand", "km")
     return points.select("mention", "lat", "lng", *on).join(found, [*on, "lat", "lng"]).select("mention", "cand", "km")
 
 
+def nearest_others(points: DataFrame, n: int, max_km: float) -> DataFrame:
+    """``points``: mention, lat, lng. Of each the ``n`` nearest with another identifier, at most ``max_km`` away:
+    mention, cand, km, rank. As many more are looked for as points share an identifier."""
+    points = points.where("mention is not null")
+    own = points.groupBy("mention").count().agg(F.max("count")).first()[0] or 0
+    close = nearest_within(points, points.toDF("cand", "c_lat", "c_lng"), n + own, max_km)
+    return nearest(close.where("mention <> cand"), n)
+
+
 def pools(mentions: DataFrame, places: DataFrame, crosswalk: DataFrame) -> DataFrame:
     """``mentions``: mention, district; ``places``: cand, block; ``crosswalk``: abbr, name. mention,
     cand: the places of the districts that the mention's may stand for, each once. Mentions without
